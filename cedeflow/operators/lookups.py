@@ -1,0 +1,28 @@
+"""Lookups that must find at most one row."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MATCHES = "lookup_matches"
+
+
+def unique_lookup(rows: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """One row per key with its values and how many rows the key had.
+
+    Left-join the result and read each value through ``only``: a key with
+    several rows then fails the query, but only if the join reaches it, as a
+    scalar sub-query would.
+    """
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias(MATCHES), *[F.any_value(v).alias(v) for v in values]
+    )
+
+
+def only(value: str) -> Column:
+    """The looked-up value, NULL when nothing matched."""
+    error = F.raise_error(F.lit("more than one row matches a lookup that must be unique"))
+    return F.when(F.col(MATCHES) > 1, error).otherwise(F.col(value))

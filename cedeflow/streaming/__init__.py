@@ -1,0 +1 @@
+"""No streaming operators: every report is a batch over month-end snapshots."""
