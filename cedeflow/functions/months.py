@@ -45,17 +45,14 @@ def in_months(rows: DataFrame, months: Sequence[str] | None, column: str = "set_
     return rows if months is None else rows.filter(F.col(column).isin(list(months)))
 
 
-def is_month(month: Column) -> Column:
-    return month.rlike(MONTH_PATTERN)
-
-
 def month_number(month: Column) -> Column:
     """``'202403'`` as the integer 202403; text order and number order agree."""
     return month.cast("int")
 
 
 def month_text(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 6, "0")
+    """The reverse, for four-digit years."""
+    return number.cast("string")
 
 
 def month_of(day: Column) -> Column:
@@ -63,6 +60,11 @@ def month_of(day: Column) -> Column:
     return month_text(F.year(day) * 100 + F.month(day))
 
 
+def not_before(day: Column, month: Column) -> Column:
+    """Whether a date lies on or after the first day of a month."""
+    return F.year(day) * 100 + F.month(day) >= month_number(month)
+
+
 def year_of(text: Column) -> Column:
     """The year part of a ``YYYY…`` text."""
     return F.left(text, F.lit(4))

@@ -5,8 +5,8 @@ broadcasts the whole list, and a correlated one as a nested loop.  Here the
 NULL rules are decided from small facts about the list and the rest is an
 ordinary anti join on the key.
 
-The callers group their rows before the anti join, so that a key holding a
-large part of all rows reaches it as a few counted rows.
+A key that holds a large part of all rows is best grouped before it gets here:
+the reports count rows per key first and filter the counts.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cedeflow.functions.months import is_month, month_number
+from cedeflow.functions.months import month_number
 
 
 def not_in(rows: DataFrame, listed: DataFrame, key: str, month: str | None = None) -> DataFrame:
@@ -40,17 +40,18 @@ def not_in(rows: DataFrame, listed: DataFrame, key: str, month: str | None = Non
         open_rows = rows.filter((state == "empty") | (~is_null & (state == "complete")))
         return open_rows.join(listed.select(key).distinct(), key, "left_anti")
 
-    # One row per calendar month: the pattern bounds it at 120,000 short rows.
+    # A row per month; the six digits bound it at 900,000 pairs of a number and a flag.
+    number = month_number(F.col(month))
     facts = (
-        listed.groupBy(month)
+        listed.groupBy(number.alias("list_month"))
         .agg((F.count_if(is_null) > 0).alias("list_has_null"))
-        .filter(is_month(F.col(month)))
+        .filter(F.col("list_month").between(100001, 999912))
     )
     has_null = F.col("list_has_null")
     open_rows = (
-        rows.join(F.broadcast(facts), month, "left")
+        rows.join(F.broadcast(facts), number == F.col("list_month"), "left")
         .filter(has_null.isNull() | (~is_null & ~has_null))
-        .drop("list_has_null")
+        .drop("list_month", "list_has_null")
     )
     return open_rows.join(listed.select(key, month).distinct(), [key, month], "left_anti")
 
@@ -85,11 +86,3 @@ def not_in_as_of(
     )
     gone = (F.col(key) == F.col("listed_key")) & (F.col("listed_from") <= now)
     return open_rows.join(first_by_key, gone, "left_anti")
-
-
-def count_not_in(
-    rows: DataFrame, listed: DataFrame, key: str, month: str, by: Sequence[str]
-) -> DataFrame:
-    """How many rows per month and ``by`` have a key the month's list lacks."""
-    counted = rows.groupBy(key, month, *by).agg(F.count("*").alias("n"))
-    return not_in(counted, listed, key, month).groupBy(month, *by).agg(F.sum("n").alias("n"))

@@ -5,8 +5,8 @@ interest_credited, bonus_credited, expense_charges), ``premium`` (set_month,
 plangroup, total_premium, renewal_premium, initial_commission) and
 ``withdrawals`` (set_month, plangroup, withdrawal_type, withdrawal_amount).
 
-The report is one grouped aggregate per input table, whatever the number of
-plan groups, lines and months.
+Each input is summed in one grouped aggregate, whatever the number of plan
+groups, lines and months; only new policies need a second look at the snapshot.
 """
 
 from __future__ import annotations
@@ -16,13 +16,13 @@ from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cedeflow import fixed_values as fixed
 from cedeflow.functions.factors import inflation
-from cedeflow.functions.months import in_months, month_list, next_month_of, previous_month
-from cedeflow.operators.absence import count_not_in
+from cedeflow.functions.months import in_months, month_list
+from cedeflow.operators.new_policies import count_new_policies
 from cedeflow.operators.report_lines import Line, complete
 
 KEYS = ("set_month", "plangroup")
@@ -78,23 +78,43 @@ def _long(totals: DataFrame, types: Sequence[str]) -> DataFrame:
     )
 
 
-def premium_totals(
+def _issue_cost(terms: GroupTerms) -> Column:
+    return F.col("n") * F.lit(float(terms.issue_cost)) * F.lit(terms.expense_share)
+
+
+def _admin_cost(terms: GroupTerms) -> Column:
+    """The monthly admin expense of ``n`` policies, inflated from the base year."""
+    return (
+        F.col("n")
+        * F.lit(terms.admin_cost_per_year / 12)
+        * inflation(F.col("set_month"), terms.inflation_rate, terms.inflation_base_year)
+        * F.lit(terms.expense_share)
+    )
+
+
+def premium_cells(
     premium: DataFrame, terms: GroupTerms, months: str | Sequence[str] | None = None
 ) -> DataFrame:
-    """Premium and commission cells: the ceded sum of each amount column."""
+    """Ceded premium and commission, and the expenses if they count premium rows."""
     types = [*fixed.PREMIUM_TYPES, fixed.COMMISSION_TYPE]
     totals = (
         _of_groups(premium, terms, month_list(months))
         .groupBy(*KEYS)
-        .agg(*[(F.sum(t) * F.lit(terms.share)).alias(t) for t in types])
+        .agg(
+            *[(F.sum(t) * F.lit(terms.share)).alias(t) for t in types],
+            F.count("*").alias("n"),
+        )
     )
-    return _long(totals, types)
+    if not terms.expenses_from_premium:
+        return _long(totals, types)
+    totals = totals.withColumns({"issue": _issue_cost(terms), "admin": _admin_cost(terms)})
+    return _long(totals, [*types, "issue", "admin"])
 
 
-def withdrawal_totals(
+def withdrawal_cells(
     withdrawals: DataFrame, terms: GroupTerms, months: str | Sequence[str] | None = None
 ) -> DataFrame:
-    """Withdrawal cells: the ceded sum of each withdrawal type."""
+    """The ceded sum of each withdrawal type."""
     return (
         _of_groups(withdrawals, terms, month_list(months))
         .filter(F.col("withdrawal_type").isin(list(fixed.WITHDRAWAL_TYPES)))
@@ -103,73 +123,38 @@ def withdrawal_totals(
     )
 
 
-def balance_totals(
+def snapshot_cells(
     snapshot: DataFrame, terms: GroupTerms, months: str | Sequence[str] | None = None
 ) -> DataFrame:
-    """Reserves, interest and policy deductions.
+    """Reserves, interest and policy deductions, and the admin expense of policies.
 
     A policy whose interest or bonus is NULL adds nothing to the interest.
     """
-    share = F.lit(terms.share)
     totals = (
         _of_groups(snapshot, terms, month_list(months))
         .groupBy(*KEYS)
         .agg(
-            F.sum(F.col("stat_reserve") * share).alias("reserves"),
-            (F.sum(F.col("interest_credited") + F.col("bonus_credited")) * share).alias("interest"),
-            (F.sum("expense_charges") * share).alias("policy_deduction"),
+            F.sum("stat_reserve").alias("reserves"),
+            F.sum(F.col("interest_credited") + F.col("bonus_credited")).alias("interest"),
+            F.sum("expense_charges").alias("policy_deduction"),
+            F.count("*").alias("n"),
         )
     )
-    return _long(totals, ["reserves", "interest", "policy_deduction"])
-
-
-def new_policies(snapshot: DataFrame, months: Sequence[str] | None, by: Sequence[str]) -> DataFrame:
-    """Rows per month and ``by`` whose policy the month before does not hold."""
-    before = None if months is None else [previous_month(m) for m in months]
-    listed = in_months(snapshot, before).select(
-        "policy_number", next_month_of(F.col("set_month")).alias("set_month")
-    )
-    current = in_months(snapshot, months)
-    return count_not_in(current, listed, "policy_number", "set_month", by)
-
-
-def issue_expenses(
-    snapshot: DataFrame,
-    premium: DataFrame,
-    terms: GroupTerms,
-    months: str | Sequence[str] | None = None,
-) -> DataFrame:
-    """Issue expense per plan group; new means new to the block, not the group."""
-    months = month_list(months)
+    types = ["reserves", "interest", "policy_deduction"]
+    totals = totals.withColumns({t: F.col(t) * F.lit(terms.share) for t in types})
     if terms.expenses_from_premium:
-        counted = (
-            _of_groups(premium, terms, months).groupBy(*KEYS).agg(F.count("*").alias("n"))
-        )
-    else:
-        counted = new_policies(snapshot, months, ["plangroup"])
-        counted = counted.filter(F.col("plangroup").isin(list(terms.plan_groups)))
-    cost = F.col("n") * F.lit(float(terms.issue_cost)) * F.lit(terms.expense_share)
-    return counted.select(*KEYS, F.lit("issue").alias("type"), cost.alias("total"))
+        return _long(totals, types)
+    return _long(totals.withColumn("admin", _admin_cost(terms)), [*types, "admin"])
 
 
-def admin_expenses(
-    snapshot: DataFrame,
-    premium: DataFrame,
-    terms: GroupTerms,
-    months: str | Sequence[str] | None = None,
+def issue_cells(
+    snapshot: DataFrame, terms: GroupTerms, months: str | Sequence[str] | None = None
 ) -> DataFrame:
-    """Monthly admin expense per plan group, inflated from the base year."""
-    source = premium if terms.expenses_from_premium else snapshot
-    counted = (
-        _of_groups(source, terms, month_list(months)).groupBy(*KEYS).agg(F.count("*").alias("n"))
-    )
-    cost = (
-        F.col("n")
-        * F.lit(terms.admin_cost_per_year / 12)
-        * inflation(F.col("set_month"), terms.inflation_rate, terms.inflation_base_year)
-        * F.lit(terms.expense_share)
+    """Issue expense of new policies; new means new to the block, not the group."""
+    counted = count_new_policies(snapshot, month_list(months), ["plangroup"])
+    return counted.filter(F.col("plangroup").isin(list(terms.plan_groups))).select(
+        *KEYS, F.lit("issue").alias("type"), _issue_cost(terms).alias("total")
     )
-    return counted.select(*KEYS, F.lit("admin").alias("type"), cost.alias("total"))
 
 
 def report_lines(terms: GroupTerms) -> list[Line]:
@@ -208,12 +193,12 @@ def group_reconciliation(
     """All lines (set_month, line_no, plan_group, type, total) of the given months."""
     months = month_list(months)
     parts = [
-        premium_totals(premium, terms, months),
-        withdrawal_totals(withdrawals, terms, months),
-        issue_expenses(snapshot, premium, terms, months),
-        admin_expenses(snapshot, premium, terms, months),
-        balance_totals(snapshot, terms, months),
+        premium_cells(premium, terms, months),
+        withdrawal_cells(withdrawals, terms, months),
+        snapshot_cells(snapshot, terms, months),
     ]
+    if not terms.expenses_from_premium:
+        parts.append(issue_cells(snapshot, terms, months))
     cells = reduce(DataFrame.unionByName, parts).withColumn(
         "cell", F.concat_ws("/", "plangroup", "type")
     )

@@ -52,9 +52,10 @@ def ceded_by_kind(movements: DataFrame, policies: DataFrame) -> DataFrame:
     twice, as joining the master would do.  Both sides are grouped by policy
     first: the join then sees each policy once, however many rows it has.
     """
-    ceded = movements.groupBy("policy_number", "set_month", "kind").agg(
-        F.sum(F.col("amount") * quota_share(F.col("reins_code"))).alias("ceded")
+    summed = movements.groupBy("policy_number", "set_month", "kind", "reins_code").agg(
+        F.sum("amount").alias("amount")
     )
+    ceded = summed.withColumn("ceded", F.col("amount") * quota_share(F.col("reins_code")))
     copies = policies.groupBy("policy_number").agg(F.count("*").alias("copies"))
     return (
         ceded.join(copies, "policy_number")

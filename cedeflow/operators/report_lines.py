@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cedeflow.functions.months import is_month
-
 
 @dataclass(frozen=True)
 class Line:
@@ -38,8 +37,7 @@ def complete(
         )
         cells = cells.unionByName(asked, allowMissingColumns=True)
     by_month = (
-        cells.filter(is_month(F.col("set_month")))
-        .groupBy("set_month")
+        cells.groupBy("set_month")
         .agg(
             F.map_from_entries(
                 F.collect_list(
@@ -49,17 +47,14 @@ def complete(
         )
     )
     names = list(lines[0].labels)
-    listed = F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("line_no"),
-                F.lit(line.cell).alias("cell"),
-                *[F.lit(line.labels[name]).alias(name) for name in names],
-                F.lit(line.empty).cast("double").alias("empty"),
-            )
+    written = json.dumps(
+        [
+            {"line_no": number, "cell": line.cell, "empty": line.empty, **line.labels}
             for number, line in enumerate(lines, start=1)
         ]
     )
+    fields = ["line_no:int", "cell:string", "empty:double", *[f"{name}:string" for name in names]]
+    listed = F.from_json(F.lit(written), f"array<struct<{','.join(fields)}>>")
     rows = by_month.select("set_month", "totals", F.explode(listed).alias("line"))
     return rows.select(
         "set_month",

@@ -4,37 +4,40 @@ Inputs: ``snapshot`` (policy_number, set_month, reins_flag, val_code,
 purchase_price, interest_earned, fund_value, stat_reserve), ``policies``
 (policy_number, date_issued) and ``movements`` as built by ``tag_movements``.
 
-With a month the report covers that month alone and everything is joined on
-the policy.  Without one, every calendar month from the first snapshot to the
-last is rolled forward in a single pass.
+The report covers the given months, or without any every calendar month from
+the first snapshot to the last, in a single pass: the snapshot is shuffled once
+by policy, each of its rows then stands for the end of its own month and for
+the beginning of the next, and a window over policy and month brings the two
+and the month's movements together.  The policy master joins on the same
+partitioning.
+
+A policy has one snapshot row per month, which bounds what one policy can
+bring into a task; movements, which have no such bound, are summed per policy
+and month before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cedeflow import fixed_values as fixed
 from cedeflow.functions.factors import quota_share
 from cedeflow.functions.months import (
-    check_month,
-    first_day_of,
+    in_months,
+    month_list,
     next_month_of,
+    not_before,
     previous_month,
 )
-from cedeflow.operators.lookups import only, unique_lookup
 from cedeflow.operators.movements import amounts_by_kind
 
 POLICY = "policy_number"
 MONTH = "set_month"
-ENDING_VALUES = (
-    "ending_purchase",
-    "ending_interest",
-    "ending_fund",
-    "ending_reserve",
-    "ending_share",
-    "ending_code",
-)
+BEGINNING, ENDING, MOVED = "beginning", "ending", "moved"
+MOVEMENT_COLUMNS = tuple(fixed.ROLLFORWARD_MOVEMENTS.values())
 COLUMNS = (
     MONTH,
     POLICY,
@@ -42,7 +45,7 @@ COLUMNS = (
     "beginning_fund_value",
     "premium",
     "interest_earned",
-    *fixed.ROLLFORWARD_MOVEMENTS.values(),
+    *MOVEMENT_COLUMNS,
     "end_fund_value",
     "qs",
     "beginning_reserve_stat",
@@ -52,146 +55,165 @@ COLUMNS = (
 )
 
 
-def _keys(month: str | None) -> list[str]:
-    return [POLICY, MONTH] if month is None else [POLICY]
-
-
-def _of_month(rows: DataFrame, month: str | None) -> DataFrame:
-    return rows if month is None else rows.filter(F.col(MONTH) == check_month(month))
+def _snapshot_values(snapshot: DataFrame, months: Sequence[str] | None) -> DataFrame:
+    """The months asked for and those before them; purchase and interest ceded."""
+    if months is not None:
+        snapshot = in_months(snapshot, sorted({*months, *map(previous_month, months)}))
+    share = quota_share(F.col("reins_flag"))
+    return snapshot.filter(F.col(POLICY).isNotNull()).select(
+        POLICY,
+        MONTH,
+        (F.col("purchase_price") * share).alias("purchase"),
+        (F.col("interest_earned") * share).alias("interest"),
+        F.col("fund_value").alias("fund"),
+        F.col("stat_reserve").alias("reserve"),
+        share.alias("share"),
+        "val_code",
+        F.lit(False).alias("is_movement"),
+    )
 
 
-def _or_zero(amount: Column) -> Column:
-    return F.coalesce(amount, F.lit(0))
+def _placed(
+    snapshot: DataFrame, movements: DataFrame, months: Sequence[str] | None
+) -> DataFrame:
+    """Snapshot values and movements by report month, partitioned by policy."""
+    moved = (
+        amounts_by_kind(in_months(movements, months), fixed.ROLLFORWARD_MOVEMENTS, [POLICY, MONTH])
+        .filter(F.col(POLICY).isNotNull())
+        .withColumn("is_movement", F.lit(True))
+    )
+    month = F.col(MONTH)
+    places = F.when(
+        F.col("is_movement"),
+        F.array(F.struct(month.alias("report_month"), F.lit(MOVED).alias("role"))),
+    ).otherwise(
+        F.array(
+            F.struct(month.alias("report_month"), F.lit(ENDING).alias("role")),
+            F.struct(next_month_of(month).alias("report_month"), F.lit(BEGINNING).alias("role")),
+        )
+    )
+    rows = (
+        _snapshot_values(snapshot, months)
+        .unionByName(moved, allowMissingColumns=True)
+        .repartition(POLICY)
+        .select("*", F.inline(places))
+    )
+    if months is not None:
+        return rows.filter(F.col("report_month").isin(list(months)))
+    last = snapshot.agg(F.max(MONTH)).scalar()
+    return rows.filter((F.col("role") != BEGINNING) | (month < last))
 
 
-def _ending(snapshot: DataFrame, month: str | None) -> DataFrame:
-    """Each policy's values at the end of the report month, one row per key."""
-    share = quota_share(F.col("reins_flag"))
-    rows = _of_month(snapshot, month).select(
-        *_keys(month),
-        (F.col("purchase_price") * share).alias("ending_purchase"),
-        (F.col("interest_earned") * share).alias("ending_interest"),
-        F.col("fund_value").alias("ending_fund"),
-        F.col("stat_reserve").alias("ending_reserve"),
-        share.alias("ending_share"),
-        F.col("val_code").alias("ending_code"),
-    )
-    return unique_lookup(rows, _keys(month), ENDING_VALUES)
+def _met(placed: DataFrame) -> DataFrame:
+    """Beginning and ending rows with the month's ending values and movements."""
+    same_month = Window.partitionBy(POLICY, "report_month")
+    is_ending = F.col("role") == ENDING
+    return placed.withColumns(
+        {
+            "endings": F.count(F.when(is_ending, 1)).over(same_month),
+            **{
+                f"end_{name}": F.max(F.when(is_ending, F.col(name))).over(same_month)
+                for name in ("purchase", "interest", "fund", "reserve", "val_code")
+            },
+            **{name: F.max(name).over(same_month) for name in MOVEMENT_COLUMNS},
+        }
+    ).filter(F.col("role") != MOVED)
 
 
-def _beginning(snapshot: DataFrame, month: str | None) -> DataFrame:
-    """Last month's rows under the month they open."""
-    if month is None:
-        last = snapshot.agg(F.max(MONTH)).scalar()
-        rows = snapshot.withColumn(MONTH, next_month_of(F.col(MONTH))).filter(F.col(MONTH) <= last)
-    else:
-        rows = snapshot.filter(F.col(MONTH) == previous_month(month))
-    share = quota_share(F.col("reins_flag"))
-    return rows.select(
-        *_keys(month),
-        (F.col("fund_value") * share).alias("beginning_fund"),
-        (F.col("purchase_price") * share).alias("beginning_purchase"),
-        (F.col("interest_earned") * share).alias("beginning_interest"),
-        (F.col("stat_reserve") * share).alias("beginning_reserve"),
-        share.alias("beginning_share"),
-    )
+def _end(name: str) -> Column:
+    """An ending value; more than one ending row for the policy is an error."""
+    error = F.raise_error(F.lit("a policy has more than one snapshot row in a month"))
+    return F.when(F.col("endings") > 1, error).otherwise(F.col(f"end_{name}"))
 
 
-def _moved(movements: DataFrame, month: str | None) -> DataFrame:
-    return amounts_by_kind(_of_month(movements, month), fixed.ROLLFORWARD_MOVEMENTS, _keys(month))
+def _or_zero(amount: Column) -> Column:
+    return F.coalesce(amount, F.lit(0))
 
 
-def _report(rows: DataFrame, month: str | None, share: str, columns: dict[str, Column]) -> DataFrame:
-    """The report columns, with the movements ceded at the given share."""
-    moved = {
-        name: _or_zero(F.col(name) * F.col(share))
-        for name in fixed.ROLLFORWARD_MOVEMENTS.values()
+def _report(
+    snapshot: DataFrame,
+    policies: DataFrame,
+    movements: DataFrame,
+    months: str | Sequence[str] | None,
+    roles: Sequence[str],
+) -> DataFrame:
+    issued_in_time = not_before(F.col("date_issued"), F.col("report_month"))
+    rows = (
+        _met(_placed(snapshot, movements, month_list(months)))
+        .filter(F.col("role").isin(list(roles)))
+        .join(policies.select(POLICY, "date_issued"), POLICY)
+        .filter((F.col("role") == BEGINNING) | issued_in_time)
+    )
+    is_beginning = F.col("role") == BEGINNING
+    share = F.col("share")
+
+    def at_beginning(amount: Column) -> Column:
+        return F.when(is_beginning, _or_zero(amount)).otherwise(F.lit(0))
+
+    def gained(name: str) -> Column:
+        gain = F.when(is_beginning, _end(name) - F.col(name)).otherwise(F.col(name))
+        return _or_zero(gain)
+
+    columns = {
+        MONTH: F.col("report_month"),
+        "beginning_fund_value": at_beginning(F.col("fund") * share),
+        "premium": gained("purchase"),
+        "interest_earned": gained("interest"),
+        **{name: _or_zero(F.col(name) * share) for name in MOVEMENT_COLUMNS},
+        "end_fund_value": _or_zero(_end("fund") * share),
+        "qs": share,
+        "beginning_reserve_stat": at_beginning(F.col("reserve") * share),
+        "end_reserve_stat": _or_zero(_end("reserve") * share),
+        "new_policy_check": F.when(is_beginning, "0").otherwise("1"),
+        "val_code": _end("val_code"),
     }
-    columns = {**columns, **moved, "qs": F.col(share)}
-    if month is not None:
-        columns[MONTH] = F.lit(month)
     return rows.select(*[columns.get(name, F.col(name)).alias(name) for name in COLUMNS])
 
 
 def rollforward_existing(
-    snapshot: DataFrame, policies: DataFrame, movements: DataFrame, month: str | None = None
+    snapshot: DataFrame,
+    policies: DataFrame,
+    movements: DataFrame,
+    months: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Policies of last month's snapshot, with what became of them.
 
     Beginning and end value, end reserve and movements are ceded at the share
     of last month's flag; premium and interest compare each month's own share.
     """
-    keys = _keys(month)
-    rows = (
-        _beginning(snapshot, month)
-        .join(policies.select(POLICY, "date_issued"), POLICY)
-        .join(_ending(snapshot, month), keys, "left")
-        .join(_moved(movements, month), keys, "left")
-    )
-    share = F.col("beginning_share")
-    return _report(
-        rows,
-        month,
-        "beginning_share",
-        {
-            "beginning_fund_value": _or_zero(F.col("beginning_fund")),
-            "premium": _or_zero(only("ending_purchase") - F.col("beginning_purchase")),
-            "interest_earned": _or_zero(only("ending_interest") - F.col("beginning_interest")),
-            "end_fund_value": _or_zero(only("ending_fund") * share),
-            "beginning_reserve_stat": _or_zero(F.col("beginning_reserve")),
-            "end_reserve_stat": _or_zero(only("ending_reserve") * share),
-            "new_policy_check": F.lit("0"),
-            "val_code": only("ending_code"),
-        },
-    )
+    return _report(snapshot, policies, movements, months, [BEGINNING])
 
 
 def rollforward_new(
-    snapshot: DataFrame, policies: DataFrame, movements: DataFrame, month: str | None = None
+    snapshot: DataFrame,
+    policies: DataFrame,
+    movements: DataFrame,
+    months: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Policies of the month's snapshot issued on or after its first day."""
-    keys = _keys(month)
-    report_month = F.col(MONTH) if month is None else F.lit(month)
-    rows = (
-        _ending(snapshot, month)
-        .join(policies.select(POLICY, "date_issued"), POLICY)
-        .filter(F.col("date_issued") >= first_day_of(report_month))
-        .join(_moved(movements, month), keys, "left")
-    )
-    share = F.col("ending_share")
-    nothing = F.lit(0).cast(snapshot.schema["fund_value"].dataType)
-    return _report(
-        rows,
-        month,
-        "ending_share",
-        {
-            "beginning_fund_value": nothing,
-            "premium": _or_zero(only("ending_purchase")),
-            "interest_earned": _or_zero(only("ending_interest")),
-            "end_fund_value": _or_zero(only("ending_fund") * share),
-            "beginning_reserve_stat": nothing,
-            "end_reserve_stat": _or_zero(only("ending_reserve") * share),
-            "new_policy_check": F.lit("1"),
-            "val_code": F.col("ending_code"),
-        },
-    )
+    return _report(snapshot, policies, movements, months, [ENDING])
 
 
 def rollforward(
-    snapshot: DataFrame, policies: DataFrame, movements: DataFrame, month: str | None = None
+    snapshot: DataFrame,
+    policies: DataFrame,
+    movements: DataFrame,
+    months: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Existing and new policies together; a policy can be in both parts."""
-    return rollforward_existing(snapshot, policies, movements, month).unionByName(
-        rollforward_new(snapshot, policies, movements, month)
-    )
+    return _report(snapshot, policies, movements, months, [BEGINNING, ENDING])
 
 
 def with_checks(report: DataFrame) -> DataFrame:
     """Adds the expected end value and how far the reported one is from it."""
-    inflow = F.abs(F.col("premium") + F.col("interest_earned"))
-    outflow = F.abs(sum((F.col(name) for name in fixed.OUTFLOW_COLUMNS[1:]), F.col(fixed.OUTFLOW_COLUMNS[0])))
+    counted = [F.col(name) for name in fixed.OUTFLOW_COLUMNS]
     return (
-        report.withColumns({"inflow": inflow, "outflow": outflow})
+        report.withColumns(
+            {
+                "inflow": F.abs(F.col("premium") + F.col("interest_earned")),
+                "outflow": F.abs(sum(counted[1:], counted[0])),
+            }
+        )
         .withColumn("exp_av", F.col("beginning_fund_value") + F.col("inflow") - F.col("outflow"))
         .withColumn("diff", F.col("end_fund_value") - F.col("exp_av"))
     )

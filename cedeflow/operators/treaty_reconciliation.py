@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from cedeflow import fixed_values as fixed
 from cedeflow.functions.factors import claim_load, issue_load, quota_share
 from cedeflow.functions.months import in_months, month_list
-from cedeflow.operators.group_reconciliation import new_policies
 from cedeflow.operators.movements import ceded_by_kind
+from cedeflow.operators.new_policies import count_new_policies
 from cedeflow.operators.report_lines import Line, complete
 
 CLAIM_COSTS = {
@@ -29,7 +29,7 @@ CLAIM_COSTS = {
 
 def issue_expense(snapshot: DataFrame, months: str | Sequence[str] | None = None) -> DataFrame:
     """New policies counted by flag, weighted by the flag's share and load."""
-    counted = new_policies(snapshot, month_list(months), ["reins_flag"])
+    counted = count_new_policies(snapshot, month_list(months), ["reins_flag"])
     flag = F.col("reins_flag")
     cost = fixed.ISSUE_COST * F.col("n") * quota_share(flag) * issue_load(flag)
     return (

@@ -149,10 +149,12 @@ def reconciliation(
     raise ValueError(f"no reconciliation for block {block!r}; blocks with one: {known}")
 
 
-def account_value_rollforward(tables: Tables, month: str | None = None) -> DataFrame:
+def account_value_rollforward(
+    tables: Tables, months: str | Sequence[str] | None = None
+) -> DataFrame:
     """The treaty block's roll-forward with its check columns."""
     movements = tables.movements(fixed.ROLLFORWARD_MOVEMENTS)
-    return with_checks(rollforward(tables["snapshot"], tables["policies"], movements, month))
+    return with_checks(rollforward(tables["snapshot"], tables["policies"], movements, months))
 
 
 def export_reconciliation(
@@ -161,5 +163,7 @@ def export_reconciliation(
     write_monthly(reconciliation(block, tables, months), path, ["line_no"])
 
 
-def export_rollforward(tables: Tables, path: str, month: str | None = None) -> None:
-    write_monthly(account_value_rollforward(tables, month), path, ["policy_number"])
+def export_rollforward(
+    tables: Tables, path: str, months: str | Sequence[str] | None = None
+) -> None:
+    write_monthly(account_value_rollforward(tables, months), path, ["policy_number"])

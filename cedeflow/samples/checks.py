@@ -185,6 +185,22 @@ def _present(sql: str) -> str:
     WHERE total IS NOT NULL AND NOT (type IN ('issue', 'admin') AND total = 0)"""
 
 
+def _held(sql: str) -> str:
+    """The cells of months and plan groups with a snapshot row, whatever their total."""
+    return f"""
+    SELECT r.set_month, r.plan_group AS plangroup, r.type, round(r.total, 6) AS total
+    FROM ({sql}) r
+    WHERE EXISTS (SELECT 1 FROM px_snapshot s
+                  WHERE s.ym = r.set_month AND s.plangroup = r.plan_group)"""
+
+
+def _premium_cells(share: str) -> list[str]:
+    return [
+        _cells(t, "px_group_premium s WHERE TRUE", f"'{t}'", share)
+        for t in (*fixed.PREMIUM_TYPES, fixed.COMMISSION_TYPE)
+    ]
+
+
 def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
@@ -346,7 +362,7 @@ LIFE_PREMIUM = f"""
                 WHEN issued BETWEEN DATE '2000-01-01' AND DATE '2001-03-31' THEN 4
            END AS tranche_mapping,
            COUNT(*) AS ct, (SUM(price) * {SHARE_95})::DOUBLE AS net_prem
-    FROM (SELECT l.ym, CAST(l.price AS DECIMAL(18,4)) AS price, {ISSUED} AS issued FROM px_line l)
+    FROM (SELECT l.ym, l.price, {ISSUED} AS issued FROM px_line l)
     GROUP BY ALL"""
 COVERED = """
     SELECT h.policy, h.ym, h.tranche, h.face, c.exhibit
@@ -443,15 +459,8 @@ BODIES = {
 GROUP_BODIES = {
     "group_reconciliation_95": _group_report(SHARE_95, ISSUE_95, ADMIN_95, False),
     "group_reconciliation_50": _group_report(SHARE_50, ISSUE_50, ADMIN_50, True),
-    "group_premium_totals": _present(
-        _union(
-            [
-                _cells(t, "px_group_premium s WHERE TRUE", f"'{t}'", SHARE_95)
-                for t in (*fixed.PREMIUM_TYPES, fixed.COMMISSION_TYPE)
-            ]
-        )
-    ),
-    "group_withdrawal_totals": _present(
+    "group_premium_cells": _present(_union(_premium_cells(SHARE_95))),
+    "group_withdrawal_cells": _present(
         _union(
             [
                 _cells("amount", f"px_group_withdrawal s WHERE s.kind = '{w}'", f"'{w}'", SHARE_95)
@@ -459,22 +468,18 @@ GROUP_BODIES = {
             ]
         )
     ),
-    "group_balance_totals": _union(
-        [
-            f"SELECT set_month, plan_group AS plangroup, type, total FROM ({sql}) r"
-            " WHERE EXISTS (SELECT 1 FROM px_snapshot s"
-            " WHERE s.ym = r.set_month AND s.plangroup = r.plan_group)"
-            for sql in (
+    "group_snapshot_cells": _held(
+        _union(
+            [
                 _cells("reserve", "px_snapshot s WHERE TRUE", "'reserves'", SHARE_95),
                 _cells("interest + bonus", "px_snapshot s WHERE TRUE", "'interest'", SHARE_95),
                 _cells("charges", "px_snapshot s WHERE TRUE", "'policy_deduction'", SHARE_95),
-            )
-        ]
+                ADMIN_95,
+            ]
+        )
     ),
-    "issue_expense_new_policies": _present(ISSUE_95),
-    "issue_expense_premium_rows": _present(ISSUE_50),
-    "admin_expense_policies": _present(ADMIN_95),
-    "admin_expense_premium_rows": _present(ADMIN_50),
+    "group_issue_cells": _present(ISSUE_95),
+    "group_premium_expense_cells": _held(_union([*_premium_cells(SHARE_50), ISSUE_50, ADMIN_50])),
 }
 
 ORACLE_SQL = {name: with_views(body) for name, body in BODIES.items()} | {

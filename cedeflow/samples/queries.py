@@ -19,12 +19,11 @@ from cedeflow.operators.group_reconciliation import (
     TERMS_50,
     TERMS_95,
     GroupTerms,
-    admin_expenses,
-    balance_totals,
     group_reconciliation,
-    issue_expenses,
-    premium_totals,
-    withdrawal_totals,
+    issue_cells,
+    premium_cells,
+    snapshot_cells,
+    withdrawal_cells,
 )
 from cedeflow.operators.movements import amounts_by_kind, tag_movements
 from cedeflow.operators.rollforward import (
@@ -68,8 +67,8 @@ def _plain(report: DataFrame) -> DataFrame:
     )
 
 
-def _rounded_admin(report: DataFrame) -> DataFrame:
-    """Admin expense uses a floating power, so the last digits are rounded off."""
+def _rounded(report: DataFrame) -> DataFrame:
+    """Admin expense is a floating power, so its last digits are rounded off."""
     return report.withColumn("total", F.round("total", 6))
 
 
@@ -186,26 +185,18 @@ REPORTS: dict[str, Callable[[SampleViews], DataFrame]] = {
     "rollforward_checked": _checked,
     "rollforward_difference": lambda v: total_difference(_checked(v)),
     # plan-group reconciliation
-    "group_reconciliation_95": lambda v: _rounded_admin(
+    "group_reconciliation_95": lambda v: _rounded(
         group_reconciliation(*_group_inputs(v), SAMPLE_95)
     ),
-    "group_reconciliation_50": lambda v: _rounded_admin(
+    "group_reconciliation_50": lambda v: _rounded(
         group_reconciliation(*_group_inputs(v), SAMPLE_50)
     ),
-    "group_premium_totals": lambda v: premium_totals(v.group_premium(), SAMPLE_95),
-    "group_withdrawal_totals": lambda v: withdrawal_totals(v.group_withdrawals(), SAMPLE_95),
-    "group_balance_totals": lambda v: balance_totals(v.snapshot(), SAMPLE_95),
-    "issue_expense_new_policies": lambda v: issue_expenses(
-        v.snapshot(), v.group_premium(), SAMPLE_95
-    ),
-    "issue_expense_premium_rows": lambda v: issue_expenses(
-        v.snapshot(), v.group_premium(), SAMPLE_50
-    ),
-    "admin_expense_policies": lambda v: _rounded_admin(
-        admin_expenses(v.snapshot(), v.group_premium(), SAMPLE_95)
-    ),
-    "admin_expense_premium_rows": lambda v: _rounded_admin(
-        admin_expenses(v.snapshot(), v.group_premium(), SAMPLE_50)
+    "group_premium_cells": lambda v: premium_cells(v.group_premium(), SAMPLE_95),
+    "group_withdrawal_cells": lambda v: withdrawal_cells(v.group_withdrawals(), SAMPLE_95),
+    "group_snapshot_cells": lambda v: _rounded(snapshot_cells(v.snapshot(), SAMPLE_95)),
+    "group_issue_cells": lambda v: issue_cells(v.snapshot(), SAMPLE_95),
+    "group_premium_expense_cells": lambda v: _rounded(
+        premium_cells(v.group_premium(), SAMPLE_50)
     ),
     # treaty reconciliation
     "treaty_reconciliation": _treaty,

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from cedeflow import fixed_values as fixed
 from cedeflow.functions.months import month_of
 
-MONEY = "decimal(18,4)"
+# Narrow enough that sums over it stay in eighteen digits, which Spark keeps in a long.
+MONEY = "decimal(8,2)"
 PLAN_GROUPS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "ABSENT")
 WITHDRAWAL_BY_LINE = dict(enumerate(fixed.WITHDRAWAL_TYPES[:7], start=1))
 MOVEMENT_BY_LINE = {
@@ -40,9 +41,12 @@ class SampleViews:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def lines(self) -> DataFrame:
         return self.table("lineitem").select(
@@ -50,8 +54,8 @@ class SampleViews:
             F.col("l_partkey"),
             F.col("l_partkey").cast("string").alias("policy_number"),
             F.col("l_linenumber").alias("line"),
-            F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+            F.col("l_quantity").cast(MONEY).alias("quantity"),
+            F.col("l_extendedprice").cast(MONEY).alias("price"),
             F.col("l_discount").cast("decimal(4,2)").alias("discount"),
             F.col("l_tax").cast("decimal(4,2)").alias("tax"),
             F.col("l_returnflag").alias("flag"),
@@ -63,28 +67,29 @@ class SampleViews:
 
     def snapshot(self) -> DataFrame:
         """One row per part and month, with the part's plan and plan group."""
-        open_price = F.when(F.col("status") == "O", F.col("price")).otherwise(0)
-        returned = F.when(F.col("flag") == "R", F.col("price") * F.col("discount"))
+        open_price = F.when(F.col("status") == "O", F.col("price")).otherwise(F.lit(0).cast(MONEY))
+        discount = (F.col("price") * F.col("discount")).cast(MONEY)
+        tax = (F.col("price") * F.col("tax")).cast(MONEY)
         flag = _choose(F.col("flag"), {"A": 0, "N": 1}, 2)
         sums = {
             "fund_value": open_price,
             "purchase_price": F.col("quantity"),
-            "interest_earned": F.col("price") * F.col("tax"),
-            "stat_reserve": F.col("price") * (1 - F.col("discount")),
-            "bonus_credited": returned,
-            "expense_charges": F.col("quantity") * F.col("tax"),
+            "interest_earned": tax,
+            "stat_reserve": (F.col("price") - discount).cast(MONEY),
+            "bonus_credited": F.when(F.col("flag") == "R", discount),
+            "expense_charges": (F.col("quantity") * F.col("tax")).cast(MONEY),
         }
         grouped = (
             self.lines()
-            .groupBy("l_partkey", "policy_number", "set_month")
+            .groupBy("l_partkey", "set_month")
             .agg(
-                *[F.sum(value).cast(MONEY).alias(name) for name, value in sums.items()],
+                *[F.sum(value).alias(name) for name, value in sums.items()],
                 F.min(flag).alias("flag_no"),
                 F.max(F.when(F.col("status") == "O", 1).otherwise(0)).alias("open"),
             )
         )
         return grouped.join(self.parts(), "l_partkey").select(
-            "policy_number",
+            F.col("l_partkey").cast("string").alias("policy_number"),
             "set_month",
             _choose(F.col("flag_no"), {0: "AF", 1: "P"}, "X").alias("reins_flag"),
             *sums,
@@ -161,7 +166,7 @@ class SampleViews:
             "policy_number",
             "set_month",
             F.col("price").cast(MONEY).alias("premium_amount"),
-            (1 - F.col("discount")).cast("decimal(3,2)").alias("quota_share"),
+            (F.lit(1) - F.col("discount")).cast("decimal(3,2)").alias("quota_share"),
             "reins_code",
         )
 
@@ -204,14 +209,14 @@ class SampleViews:
     def _strategy_policy(self) -> Column:
         """Policy numbers begin with D or T, by plan group."""
         early = F.col("plangroup").isin("ECONOMY", "LARGE", "MEDIUM")
-        return F.concat(F.when(early, "D").otherwise("T"), F.col("policy_number"))
+        return F.concat(F.when(early, "D").otherwise("T"), F.col("l_partkey").cast("string"))
 
     def strategy_snapshot(self) -> DataFrame:
-        open_price = F.when(F.col("status") == "O", F.col("price")).otherwise(0)
+        open_price = F.when(F.col("status") == "O", F.col("price")).otherwise(F.lit(0).cast(MONEY))
         return (
             self.lines()
-            .groupBy("l_partkey", "policy_number", "set_month", "flag")
-            .agg(F.sum(open_price).cast(MONEY).alias("totalpolicyav"))
+            .groupBy("l_partkey", "set_month", "flag")
+            .agg(F.sum(open_price).alias("totalpolicyav"))
             .join(self.parts(), "l_partkey")
             .select(
                 self._strategy_policy().alias("policynumber"),
@@ -303,6 +308,6 @@ class SampleViews:
         return self.lines().join(self.orders(), "l_orderkey").select(
             F.col("policy").alias("policyno"),
             "set_month",
-            (F.col("price") * (1 - F.col("discount"))).cast(MONEY).alias("net_payable"),
+            (F.col("price") - F.col("price") * F.col("discount")).cast(MONEY).alias("net_payable"),
             F.col("ordered").alias("issue_date"),
         )

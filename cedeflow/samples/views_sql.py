@@ -7,8 +7,8 @@ import re
 VIEWS = {
     "px_line": """
         SELECT l_orderkey, l_partkey, CAST(l_partkey AS VARCHAR) AS policy, l_linenumber AS line,
-               CAST(l_quantity AS DECIMAL(12,2)) AS quantity,
-               CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
+               CAST(l_quantity AS DECIMAL(8,2)) AS quantity,
+               CAST(l_extendedprice AS DECIMAL(8,2)) AS price,
                CAST(l_discount AS DECIMAL(4,2)) AS discount,
                CAST(l_tax AS DECIMAL(4,2)) AS tax,
                l_returnflag AS flag, l_linestatus AS status,
@@ -26,12 +26,13 @@ VIEWS = {
                strftime(strptime(ym || '01', '%Y%m%d') + INTERVAL 1 MONTH, '%Y%m') AS ym_next,
                strftime(strptime(ym || '01', '%Y%m%d') - INTERVAL 1 MONTH, '%Y%m') AS ym_before
         FROM (SELECT l_partkey, policy, ym,
-                     CAST(SUM(CASE WHEN status = 'O' THEN price ELSE 0 END) AS DECIMAL(18,4)) AS fund,
-                     CAST(SUM(quantity) AS DECIMAL(18,4)) AS purchase,
-                     CAST(SUM(price * tax) AS DECIMAL(18,4)) AS interest,
-                     CAST(SUM(price * (1 - discount)) AS DECIMAL(18,4)) AS reserve,
-                     CAST(SUM(CASE WHEN flag = 'R' THEN price * discount END) AS DECIMAL(18,4)) AS bonus,
-                     CAST(SUM(quantity * tax) AS DECIMAL(18,4)) AS charges,
+                     CAST(SUM(CASE WHEN status = 'O' THEN price ELSE 0 END) AS DECIMAL(18,2)) AS fund,
+                     CAST(SUM(quantity) AS DECIMAL(18,2)) AS purchase,
+                     CAST(SUM(CAST(price * tax AS DECIMAL(8,2))) AS DECIMAL(18,2)) AS interest,
+                     CAST(SUM(price - CAST(price * discount AS DECIMAL(8,2))) AS DECIMAL(18,2)) AS reserve,
+                     CAST(SUM(CASE WHEN flag = 'R' THEN CAST(price * discount AS DECIMAL(8,2)) END)
+                          AS DECIMAL(18,2)) AS bonus,
+                     CAST(SUM(CAST(quantity * tax AS DECIMAL(8,2))) AS DECIMAL(18,2)) AS charges,
                      MIN(CASE flag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) AS flag_no,
                      MAX(CASE WHEN status = 'O' THEN 1 ELSE 0 END) AS is_open
               FROM px_line GROUP BY ALL) g
@@ -40,7 +41,7 @@ VIEWS = {
         SELECT policy, MIN(shipped) AS issued, strftime(MIN(shipped), '%Y%m') AS reported
         FROM px_line GROUP BY policy""",
     "px_movement": """
-        SELECT policy, ym, code, CAST(price * discount AS DECIMAL(18,4)) AS amount,
+        SELECT policy, ym, code, CAST(price * discount AS DECIMAL(8,2)) AS amount,
                CASE line WHEN 1 THEN 'full_surrenders' WHEN 2 THEN 'cancellations'
                          WHEN 3 THEN 'surrender_fees' WHEN 4 THEN 'aiw' WHEN 5 THEN 'rmd'
                          WHEN 6 THEN 'penalty_free'
@@ -49,21 +50,21 @@ VIEWS = {
                                    ELSE 'partial_surrenders' END END AS kind
         FROM px_line""",
     "px_premium": """
-        SELECT policy, ym, code, CAST(price AS DECIMAL(18,4)) AS amount,
+        SELECT policy, ym, code, CAST(price AS DECIMAL(8,2)) AS amount,
                CAST(1 - discount AS DECIMAL(3,2)) AS ceded_part
         FROM px_line""",
     "px_any_movement": """
         SELECT policy, ym, kind, amount, code FROM px_movement
         UNION ALL SELECT policy, ym, 'premium', amount, code FROM px_premium""",
     "px_commission": """
-        SELECT ym, code AS flag, CAST(price * tax AS DECIMAL(18,4)) AS paid FROM px_line""",
+        SELECT ym, code AS flag, CAST(price * tax AS DECIMAL(8,2)) AS paid FROM px_line""",
     "px_group_premium": """
-        SELECT ym, plangroup, CAST(price AS DECIMAL(18,4)) AS total_premium,
-               CAST(price * tax AS DECIMAL(18,4)) AS renewal_premium,
-               CAST(price * discount AS DECIMAL(18,4)) AS initial_commission
+        SELECT ym, plangroup, CAST(price AS DECIMAL(8,2)) AS total_premium,
+               CAST(price * tax AS DECIMAL(8,2)) AS renewal_premium,
+               CAST(price * discount AS DECIMAL(8,2)) AS initial_commission
         FROM px_line JOIN px_part ON p_partkey = l_partkey""",
     "px_group_withdrawal": """
-        SELECT ym, plangroup, CAST(price * discount AS DECIMAL(18,4)) AS amount,
+        SELECT ym, plangroup, CAST(price * discount AS DECIMAL(8,2)) AS amount,
                CASE line WHEN 1 THEN 'Full Surrender Withdrawals'
                          WHEN 2 THEN 'Partial Withdrawal with SC'
                          WHEN 3 THEN 'RMD Withdrawals'
@@ -80,7 +81,7 @@ VIEWS = {
         SELECT CASE WHEN plangroup IN ('ECONOMY', 'LARGE', 'MEDIUM') THEN 'D' ELSE 'T' END || policy
                    AS policy,
                ym, flag AS strategy,
-               CAST(SUM(CASE WHEN status = 'O' THEN price ELSE 0 END) AS DECIMAL(18,4)) AS av,
+               CAST(SUM(CASE WHEN status = 'O' THEN price ELSE 0 END) AS DECIMAL(18,2)) AS av,
                CASE flag WHEN 'N' THEN 0.65::DECIMAL(3,2) WHEN 'A' THEN 0.40::DECIMAL(3,2)
                          ELSE 0.50::DECIMAL(3,2) END AS ceded_part
         FROM px_line JOIN px_part ON p_partkey = l_partkey
@@ -93,7 +94,7 @@ VIEWS = {
         FROM px_line JOIN px_part ON p_partkey = l_partkey""",
     "px_order": """
         SELECT o_orderkey, o_custkey, CAST(o_custkey AS VARCHAR) AS policy,
-               CAST(o_totalprice AS DECIMAL(18,4)) AS total,
+               CAST(o_totalprice AS DECIMAL(8,2)) AS total,
                CAST(o_orderdate AS DATE) AS ordered, strftime(o_orderdate, '%Y%m') AS order_ym,
                CASE WHEN o_orderdate < DATE '1996-12-31' THEN 1
                     WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1998-06-30' THEN 2
@@ -116,10 +117,10 @@ VIEWS = {
                             ELSE '5C' END AS exhibit
         FROM px_segment""",
     "px_annuity": """
-        SELECT o.policy, order_ym AS ym, CAST(price AS DECIMAL(18,4)) AS total2
+        SELECT o.policy, order_ym AS ym, CAST(price AS DECIMAL(8,2)) AS total2
         FROM px_line JOIN px_order o ON o_orderkey = l_orderkey""",
     "px_claim": """
-        SELECT o.policy, l.ym, tranche, CAST(price * (1 - discount) AS DECIMAL(18,4)) AS payable
+        SELECT o.policy, l.ym, tranche, CAST(price - price * discount AS DECIMAL(8,2)) AS payable
         FROM px_line l JOIN px_order o ON o_orderkey = l_orderkey""",
 }
 

@@ -23,15 +23,20 @@ class Tables:
         self.spark = spark
         self.locations = dict(locations)
         self.file_format = file_format
+        self._read: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.locations:
             known = ", ".join(sorted(self.locations))
             raise KeyError(f"unknown table {name!r}; known tables: {known}")
-        location = self.locations[name]
-        if "/" in location:
-            return self.spark.read.format(self.file_format).load(location)
-        return self.spark.table(location)
+        if name not in self._read:
+            location = self.locations[name]
+            if "/" in location:
+                frame = self.spark.read.format(self.file_format).load(location)
+            else:
+                frame = self.spark.table(location)
+            self._read[name] = frame
+        return self._read[name]
 
     def movements(self, kinds: Iterable[str]) -> DataFrame:
         """The movement tables of the given kinds as one long frame."""
