@@ -32,15 +32,13 @@ def count_new_policies(
     counted = snapshot.groupBy(POLICY, MONTH, *by).agg(F.count("*").alias("n"))
     following = next_month_of(F.col(MONTH))
 
-    # A row per month; the six digits bound it at 900,000 pairs of a number and a flag.
-    facts = (
-        counted.groupBy(month_number(following).alias("listed_for"))
-        .agg(
-            F.coalesce(F.sum(F.when(F.col(POLICY).isNull(), F.col("n"))) > 0, F.lit(False)).alias(
-                "list_has_null"
-            )
+    # A row per month; six digits bound it at a million pairs of a number and a
+    # flag.  Neither a filter here nor one the join would add (hence its NULL-safe
+    # comparison) reaches the scan, so the counts above are computed only once.
+    facts = counted.groupBy((month_number(following) % 1_000_000).alias("listed_for")).agg(
+        F.coalesce(F.sum(F.when(F.col(POLICY).isNull(), F.col("n"))) > 0, F.lit(False)).alias(
+            "list_has_null"
         )
-        .filter(F.col("listed_for").between(100001, 999912))
     )
 
     places = F.array(
@@ -58,10 +56,9 @@ def count_new_policies(
         current = current.filter(F.col("report_month").isin(list(months)))
     has_null = F.col("list_has_null")
     is_new = has_null.isNull() | (F.col(POLICY).isNotNull() & ~has_null & ~F.col("listed"))
+    same_list = month_number(F.col("report_month")).eqNullSafe(F.col("listed_for"))
     return (
-        current.join(
-            F.broadcast(facts), month_number(F.col("report_month")) == F.col("listed_for"), "left"
-        )
+        current.join(F.broadcast(facts), same_list, "left")
         .filter(is_new)
         .groupBy(F.col("report_month").alias(MONTH), *by)
         .agg(F.sum("n").alias("n"))

@@ -83,9 +83,13 @@ def movement_totals(
 
 def commission(commissions: DataFrame, months: str | Sequence[str] | None = None) -> DataFrame:
     """The ceded commission."""
-    return (
+    by_flag = (
         in_months(commissions, month_list(months))
-        .groupBy("set_month")
+        .groupBy("set_month", "reins_flag")
+        .agg(F.sum("paid").alias("paid"))
+    )
+    return (
+        by_flag.groupBy("set_month")
         .agg(F.sum(F.col("paid") * quota_share(F.col("reins_flag"))).alias("total"))
         .select("set_month", F.lit("commission").alias("cell"), "total")
     )
