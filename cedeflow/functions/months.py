@@ -60,9 +60,9 @@ def month_of(day: Column) -> Column:
     return month_text(F.year(day) * 100 + F.month(day))
 
 
-def not_before(day: Column, month: Column) -> Column:
-    """Whether a date lies on or after the first day of a month."""
-    return F.year(day) * 100 + F.month(day) >= month_number(month)
+def not_before(day: Column, number: Column) -> Column:
+    """Whether a date lies on or after the first day of the month so numbered."""
+    return F.year(day) * 100 + F.month(day) >= number
 
 
 def year_of(text: Column) -> Column:
@@ -70,14 +70,18 @@ def year_of(text: Column) -> Column:
     return F.left(text, F.lit(4))
 
 
+def following_number(number: Column) -> Column:
+    """The number of the month after: 202412 is followed by 202501."""
+    return F.when(number % 100 == 12, number + 89).otherwise(number + 1)
+
+
 def previous_month_of(month: Column) -> Column:
     number = month_number(month)
     return month_text(F.when(number % 100 == 1, number - 89).otherwise(number - 1))
 
 
 def next_month_of(month: Column) -> Column:
-    number = month_number(month)
-    return month_text(F.when(number % 100 == 12, number + 89).otherwise(number + 1))
+    return month_text(following_number(month_number(month)))
 
 
 def first_day_of(month: Column) -> Column:

@@ -55,6 +55,8 @@ def net_av_dedup(
     prefix: str = "%",
     since: str = fixed.ACCOUNT_VALUE_SINCE,
     policy: str = "policynumber",
+    value: str = "totalpolicyav",
+    share: str = "ceded_share",
 ) -> DataFrame:
     """Ceded value by month and plan over distinct policy, value, plan and share.
 
@@ -63,10 +65,10 @@ def net_av_dedup(
     """
     chosen = F.col(policy).like(prefix) & (F.col("set_month") >= since)
     keys = [policy, "set_month"]
-    values = snapshot.filter(chosen).select(*keys, "totalpolicyav", "converge").distinct()
+    values = snapshot.filter(chosen).select(*keys, value, share).distinct()
     plans = policies.filter(chosen).select(*keys, "plan").distinct()
     return (
         values.join(plans, keys)
         .groupBy("set_month", "plan")
-        .agg(F.sum(F.col("totalpolicyav") * F.col("converge")).alias("net_av"))
+        .agg(F.sum(F.col(value) * F.col(share)).alias("net_av"))
     )

@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cedeflow.functions.months import in_months, month_number, next_month_of, previous_month
+from cedeflow.functions.months import (
+    following_number,
+    in_months,
+    month_number,
+    month_text,
+    previous_month,
+)
 
 POLICY = "policy_number"
 MONTH = "set_month"
@@ -30,19 +36,20 @@ def count_new_policies(
     if months is not None:
         snapshot = in_months(snapshot, sorted({*months, *map(previous_month, months)}))
     counted = snapshot.groupBy(POLICY, MONTH, *by).agg(F.count("*").alias("n"))
-    following = next_month_of(F.col(MONTH))
+    month = month_number(F.col(MONTH))
+    following = following_number(month)
 
     # A row per month; six digits bound it at a million pairs of a number and a
     # flag.  Neither a filter here nor one the join would add (hence its NULL-safe
     # comparison) reaches the scan, so the counts above are computed only once.
-    facts = counted.groupBy((month_number(following) % 1_000_000).alias("listed_for")).agg(
+    facts = counted.groupBy((following % 1_000_000).alias("listed_for")).agg(
         F.coalesce(F.sum(F.when(F.col(POLICY).isNull(), F.col("n"))) > 0, F.lit(False)).alias(
             "list_has_null"
         )
     )
 
     places = F.array(
-        F.struct(F.col(MONTH).alias("report_month"), F.lit(False).alias("is_listing")),
+        F.struct(month.alias("report_month"), F.lit(False).alias("is_listing")),
         F.struct(following.alias("report_month"), F.lit(True).alias("is_listing")),
     )
     same_month = Window.partitionBy(POLICY, "report_month")
@@ -53,13 +60,13 @@ def count_new_policies(
         .filter(~F.col("is_listing"))
     )
     if months is not None:
-        current = current.filter(F.col("report_month").isin(list(months)))
+        current = current.filter(F.col("report_month").isin([int(m) for m in months]))
     has_null = F.col("list_has_null")
     is_new = has_null.isNull() | (F.col(POLICY).isNotNull() & ~has_null & ~F.col("listed"))
-    same_list = month_number(F.col("report_month")).eqNullSafe(F.col("listed_for"))
+    same_list = F.col("report_month").eqNullSafe(F.col("listed_for"))
     return (
         current.join(F.broadcast(facts), same_list, "left")
         .filter(is_new)
-        .groupBy(F.col("report_month").alias(MONTH), *by)
+        .groupBy(month_text(F.col("report_month")).alias(MONTH), *by)
         .agg(F.sum("n").alias("n"))
     )

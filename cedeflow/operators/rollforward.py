@@ -26,9 +26,11 @@ from pyspark.sql import functions as F
 from cedeflow import fixed_values as fixed
 from cedeflow.functions.factors import quota_share
 from cedeflow.functions.months import (
+    following_number,
     in_months,
     month_list,
-    next_month_of,
+    month_number,
+    month_text,
     not_before,
     previous_month,
 )
@@ -36,7 +38,8 @@ from cedeflow.operators.movements import amounts_by_kind
 
 POLICY = "policy_number"
 MONTH = "set_month"
-BEGINNING, ENDING, MOVED = "beginning", "ending", "moved"
+# What a row is to the month it is placed in.
+BEGINNING, ENDING, MOVED = 0, 1, 2
 MOVEMENT_COLUMNS = tuple(fixed.ROLLFORWARD_MOVEMENTS.values())
 COLUMNS = (
     MONTH,
@@ -82,14 +85,14 @@ def _placed(
         .filter(F.col(POLICY).isNotNull())
         .withColumn("is_movement", F.lit(True))
     )
-    month = F.col(MONTH)
+    month = month_number(F.col(MONTH))
     places = F.when(
         F.col("is_movement"),
         F.array(F.struct(month.alias("report_month"), F.lit(MOVED).alias("role"))),
     ).otherwise(
         F.array(
             F.struct(month.alias("report_month"), F.lit(ENDING).alias("role")),
-            F.struct(next_month_of(month).alias("report_month"), F.lit(BEGINNING).alias("role")),
+            F.struct(following_number(month).alias("report_month"), F.lit(BEGINNING).alias("role")),
         )
     )
     rows = (
@@ -97,11 +100,12 @@ def _placed(
         .unionByName(moved, allowMissingColumns=True)
         .repartition(POLICY)
         .select("*", F.inline(places))
+        .drop(MONTH, "is_movement")
     )
     if months is not None:
-        return rows.filter(F.col("report_month").isin(list(months)))
-    last = snapshot.agg(F.max(MONTH)).scalar()
-    return rows.filter((F.col("role") != BEGINNING) | (month < last))
+        return rows.filter(F.col("report_month").isin([int(m) for m in months]))
+    last = snapshot.agg(F.max(month)).scalar()
+    return rows.filter((F.col("role") != BEGINNING) | (F.col("report_month") <= last))
 
 
 def _met(placed: DataFrame) -> DataFrame:
@@ -135,7 +139,7 @@ def _report(
     policies: DataFrame,
     movements: DataFrame,
     months: str | Sequence[str] | None,
-    roles: Sequence[str],
+    roles: Sequence[int],
 ) -> DataFrame:
     issued_in_time = not_before(F.col("date_issued"), F.col("report_month"))
     rows = (
@@ -155,7 +159,7 @@ def _report(
         return _or_zero(gain)
 
     columns = {
-        MONTH: F.col("report_month"),
+        MONTH: month_text(F.col("report_month")),
         "beginning_fund_value": at_beginning(F.col("fund") * share),
         "premium": gained("purchase"),
         "interest_earned": gained("interest"),

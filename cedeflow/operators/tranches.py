@@ -52,22 +52,24 @@ def life_face(
 
     Everything is summed per policy and month before the annuity join: the
     face amount is linear in both sides, so each key is one row on either.
+    The code lookup is left to Spark, which broadcasts it if it is small and
+    else splits codes that hold too many policies.
     """
-    exhibits = codes.groupBy(F.col("valcode_new").alias("code")).agg(
-        F.count_if(F.col("exhibit") == fixed.LIFE_EXHIBIT).alias("life"),
-        F.count_if(F.col("exhibit") == fixed.ANNUITY_EXHIBIT).alias("annuity"),
+    exhibits = codes.select(F.col("valcode_new").alias("code"), "exhibit").filter(
+        F.col("exhibit").isin(fixed.LIFE_EXHIBIT, fixed.ANNUITY_EXHIBIT)
     )
+    is_life = F.col("exhibit") == fixed.LIFE_EXHIBIT
     held = (
         snapshot.withColumn("code", reserve_code(F.col("pbfrsvcd1")))
-        .join(exhibits.filter(F.col("life") + F.col("annuity") > 0), "code")
+        .join(exhibits, "code")
         .groupBy(
             F.col("pmdno").alias("policy"),
             "set_month",
             tranche_of(F.col("pmdissuedt"), tranches).alias("tranche_mapping"),
         )
         .agg(
-            F.sum(F.when(F.col("life") > 0, F.col("pbfamt") * F.col("life"))).alias("life_face"),
-            F.sum("annuity").alias("annuity_rows"),
+            F.sum(F.when(is_life, F.col("pbfamt"))).alias("life_face"),
+            F.count_if(~is_life).alias("annuity_rows"),
         )
     )
     paying = annuities.groupBy(F.col("policyno").alias("policy"), "set_month").agg(

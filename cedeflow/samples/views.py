@@ -225,7 +225,7 @@ class SampleViews:
                 "totalpolicyav",
                 _choose(F.col("flag"), {"N": "0.65", "A": "0.40"}, "0.50")
                 .cast("decimal(3,2)")
-                .alias("converge"),
+                .alias("ceded_share"),
             )
         )
 

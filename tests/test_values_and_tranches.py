@@ -47,7 +47,7 @@ def test_flag_share_by_term(frame):
 def test_deduplicated_value(frame):
     snapshot = frame(
         "policynumber string, set_month string, creditstrategy string, totalpolicyav double,"
-        " converge double",
+        " ceded_share double",
         ("D1", "202401", "s", 100.0, 0.5),
         ("D1", "202401", "t", 100.0, 0.5),  # the same value again
         ("D1", "202401", "u", 100.0, 0.4),  # another share is summed
