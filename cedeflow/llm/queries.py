@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cedeflow.llm import covering_simhash, digest_index
+from cedeflow.llm import covering_simhash, digest_index, robust_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +19,17 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covering_simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_quality.quality_verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
