@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cedeflow.llm import covering_simhash, digest_index, robust_quality
+from cedeflow.llm import (
+    covering_simhash,
+    digest_index,
+    html_density,
+    license_scan,
+    pfair_mix,
+    robust_quality,
+    url_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +23,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.main_texts(_table(spark, sf_dir, "pages"))
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = pfair_mix.mixed(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mix.select("row.doc_id", "row.source", "block", "slot", "position")
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels")
+    return url_rules.url_verdicts(pages, labels)
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_rows(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covering_simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -28,6 +54,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_source_mixing": op2_source_mixing,
+    "op3_url_filter": op3_url_filter,
+    "op4_license_scan": op4_license_scan,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
