@@ -11,8 +11,10 @@ from cedeflow.llm import (
     digest_index,
     html_density,
     license_scan,
+    ordinal_toxicity,
     pfair_mix,
     robust_quality,
+    suffix_pieces,
     url_rules,
 )
 
@@ -53,6 +55,15 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return ordinal_toxicity.graded(docs, ordinal_toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_pieces.round_trips(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_source_mixing": op2_source_mixing,
@@ -61,6 +72,8 @@ QUERIES: dict[str, Query] = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {
