@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cedeflow.llm import (
     covering_simhash,
     digest_index,
+    fuzzy_lines,
     html_density,
     license_scan,
     ordinal_toxicity,
@@ -43,6 +44,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_rows(_table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fuzzy_lines.deduplicated(_table(spark, sf_dir, "documents"))
+    return done.select("row.doc_id", "text", "n_lines", "n_dropped")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covering_simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -69,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_url_filter": op3_url_filter,
     "op4_license_scan": op4_license_scan,
+    "op5_line_dedup": op5_line_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
