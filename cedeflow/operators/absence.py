@@ -40,16 +40,13 @@ def not_in(rows: DataFrame, listed: DataFrame, key: str, month: str | None = Non
         open_rows = rows.filter((state == "empty") | (~is_null & (state == "complete")))
         return open_rows.join(listed.select(key).distinct(), key, "left_anti")
 
-    # A row per month; the six digits bound it at 900,000 pairs of a number and a flag.
-    number = month_number(F.col(month))
-    facts = (
-        listed.groupBy(number.alias("list_month"))
-        .agg((F.count_if(is_null) > 0).alias("list_has_null"))
-        .filter(F.col("list_month").between(100001, 999912))
+    # A row per month of the list, whatever its text; a NULL month has no list.
+    facts = listed.groupBy(F.col(month).alias("list_month")).agg(
+        (F.count_if(is_null) > 0).alias("list_has_null")
     )
     has_null = F.col("list_has_null")
     open_rows = (
-        rows.join(F.broadcast(facts), number == F.col("list_month"), "left")
+        rows.join(facts, F.col(month) == F.col("list_month"), "left")
         .filter(has_null.isNull() | (~is_null & ~has_null))
         .drop("list_month", "list_has_null")
     )
@@ -73,8 +70,13 @@ def not_in_as_of(
         F.col(listed_key or key).alias("listed_key"),
         month_number(F.col(listed_month)).alias("listed_from"),
     )
-    first_any = listed.agg(F.min("listed_from")).scalar()
-    first_null = listed.filter(F.col("listed_key").isNull()).agg(F.min("listed_from")).scalar()
+    facts = listed.agg(
+        F.struct(
+            F.min("listed_from").alias("any"),
+            F.min(F.when(F.col("listed_key").isNull(), F.col("listed_from"))).alias("null"),
+        )
+    ).scalar()
+    first_any, first_null = facts["any"], facts["null"]
     first_by_key = (
         listed.filter(F.col("listed_key").isNotNull())
         .groupBy("listed_key")

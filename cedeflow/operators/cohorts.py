@@ -5,10 +5,12 @@ policy is newly issued in the first month it appears.  Rows exist only where
 something is in force: new issues of a month and year without in-force
 policies are not reported.
 
-The wide part of every report is one grouping of the snapshot by policy and
-calendar year, which holds the months as the bits of an integer: bit 0 is
-January.  Both counts come from that, so a snapshot is shuffled once and a
-policy with many rows per month is reduced before the shuffle.
+The wide part of every report is one grouping of the snapshot by policy, which
+holds the distinct months, with and without value.  Both counts come from that,
+so a snapshot is read and shuffled once, and a policy with many rows per month
+is reduced before the shuffle.  A month is any text: those that are no calendar
+months are reported like others, and a NULL month has its in-force count and no
+new issues.
 """
 
 from __future__ import annotations
@@ -23,59 +25,54 @@ from cedeflow.functions.months import month_number, month_text, year_of
 from cedeflow.operators.absence import not_in_as_of
 
 MONTH = "set_month"
-MONTHS_PER_YEAR = 12
 
 
-def _monthly_bits(
-    rows: DataFrame, policy: str, by: Sequence[str], in_force: Column, month: str = MONTH
+def _months_of(
+    rows: DataFrame, policy: str, by: Sequence[str], in_force: Column
 ) -> DataFrame:
-    """(policy, *by, year, seen, live): the months with a row, and with value."""
-    number = month_number(F.col(month))
-    bit = F.call_function("shiftleft", F.lit(1), number % 100 - 1)
-    return rows.groupBy(
-        F.col(policy).alias("policy"), *by, F.left(month, F.lit(4)).cast("int").alias("year")
-    ).agg(
-        F.bit_or(bit).alias("seen"),
-        F.coalesce(F.bit_or(F.when(in_force, bit)), F.lit(0)).alias("live"),
-    )
-
+    """(policy, *by, months): the distinct months of each, with and without value.
 
-def _first_seen(bits: DataFrame, by: Sequence[str]) -> DataFrame:
-    """New issues per month: each policy and ``by`` counts in its first month."""
-    seen = F.col("seen")
-    lowest = F.bit_count(seen.bitwiseAND(-seen) - 1)
-    first = bits.groupBy("policy", *by).agg(
-        F.min(F.col("year") * 100 + lowest + 1).alias("first_month")
-    )
-    return first.groupBy(month_text(F.col("first_month")).alias(MONTH), *by).agg(
-        F.count("policy").alias("new_issued_policies")
+    The set holds two entries a month at most, however many rows a policy has.
+    """
+    live = F.coalesce(in_force, F.lit(False)).alias("live")
+    return rows.groupBy(F.col(policy).alias("policy"), *by).agg(
+        F.collect_set(F.struct(F.col(MONTH).alias("month"), live)).alias("months")
     )
 
 
-def _in_force(bits: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Distinct policies in force per month."""
-    live = F.col("live")
-    known = F.col("policy").isNotNull()
-    per_year = bits.groupBy("year", *by).agg(
-        F.bit_or(live).alias("any_live"),
-        *[
-            F.sum(F.when(known, F.getbit(live, F.lit(i))).otherwise(F.lit(0))).alias(f"n{i}")
-            for i in range(MONTHS_PER_YEAR)
-        ],
-    )
-    months = F.array(
-        *[
-            F.struct(F.lit(i).alias("bit"), F.col(f"n{i}").alias("ct_inforce"))
-            for i in range(MONTHS_PER_YEAR)
-        ]
+def _counts(months: DataFrame, by: Sequence[str]) -> DataFrame:
+    """In-force policies and new issues per month, where there is either.
+
+    A policy and ``by`` is new in its first month.  A NULL month, year or group
+    has no new issues.
+    """
+    first = F.array_min(F.transform("months", lambda m: m["month"]))
+    cells = F.array_append(
+        F.transform(
+            F.filter("months", lambda m: m["live"]),
+            lambda m: F.struct(m["month"].alias("month"), F.lit(True).alias("live"), F.lit(False).alias("new")),
+        ),
+        F.struct(first.alias("month"), F.lit(False).alias("live"), F.lit(True).alias("new")),
     )
-    return (
-        per_year.select("year", "any_live", *by, F.inline(months))
-        .filter(F.getbit("any_live", F.col("bit")) == 1)
-        .select(
-            month_text(F.col("year") * 100 + F.col("bit") + 1).alias(MONTH), *by, "ct_inforce"
+    known = F.col("policy").isNotNull()
+    counts = (
+        months.select("policy", *by, F.inline(cells))
+        .groupBy(F.col("month").alias(MONTH), *by)
+        .agg(
+            F.count_if(F.col("live") & known).alias("ct_inforce"),
+            F.max("live").alias("any_live"),
+            F.count_if(F.col("new") & known).alias("issued"),
         )
     )
+    complete = F.lit(True)
+    for name in (MONTH, *by):
+        complete = complete & F.col(name).isNotNull()
+    issued = F.when(complete, F.col("issued")).otherwise(F.lit(0))
+    return counts.select(MONTH, *by, "ct_inforce", "any_live", issued.alias("new_issued_policies"))
+
+
+def _in_force_counts(months: DataFrame, by: Sequence[str]) -> DataFrame:
+    return _counts(months, by).filter("any_live").drop("any_live")
 
 
 def _with_new_issues(in_force: DataFrame, new_issues: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -101,8 +98,7 @@ def cohorts_single(
     """
     rows = snapshot.withColumn("report_year", year_of(F.col("reported_date")))
     keys = [*by, "report_year"]
-    bits = _monthly_bits(rows, policy, keys, F.col(value) > 0)
-    return _with_new_issues(_in_force(bits, keys), _first_seen(bits, keys), keys)
+    return _in_force_counts(_months_of(rows, policy, keys, F.col(value) > 0), keys)
 
 
 def cohorts_policy(
@@ -115,9 +111,8 @@ def cohorts_policy(
     years = policies.select(
         F.col(policy).alias("policy"), year_of(F.col("reported_date")).alias("report_year")
     ).distinct()
-    bits = _monthly_bits(snapshot, policy, [], F.col(value) > 0).join(years, "policy")
-    keys = ["report_year"]
-    return _with_new_issues(_in_force(bits, keys), _first_seen(bits, keys), keys)
+    months = _months_of(snapshot, policy, [], F.col(value) > 0).join(years, "policy")
+    return _in_force_counts(months, ["report_year"])
 
 
 def cohorts_monthly_policy(
@@ -208,7 +203,9 @@ def cohorts_migration(
         )
     )
     rows = new_system.withColumn("report_year", year_of(F.col("reported_date")))
-    first_seen = _first_seen(_monthly_bits(rows, "mpolicy", by, F.lit(False)), by)
+    first_seen = _counts(_months_of(rows, "mpolicy", by, F.lit(False)), by).drop(
+        "ct_inforce", "any_live"
+    )
     new_part = in_force.join(first_seen, [MONTH, *by], "left").select(
         MONTH,
         *by,
@@ -217,5 +214,6 @@ def cohorts_migration(
         .otherwise(F.coalesce("new_issued_policies", F.lit(0)))
         .alias("new_issued_policies"),
     )
-    old_part = cohorts_single(old_system).filter(F.col(MONTH) < cut_over)
+    # a first month before the cut-over is the first of all months
+    old_part = cohorts_single(old_system.filter(F.col(MONTH) < cut_over))
     return new_part.unionByName(old_part)

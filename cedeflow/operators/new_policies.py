@@ -29,9 +29,10 @@ def count_new_policies(
     new, a NULL policy there leaves none, and a NULL policy is never new to a
     month that has one before it.
 
-    The snapshot is read once and counted per policy and month before anything
-    else.  Each count then stands for its own month and as listed for the next,
-    and a window over policy and month finds the listed ones.
+    The snapshot is read once and counted per policy and month; the counts are
+    then shuffled once more, by policy alone.  Each stands for its own month and
+    as listed for the next, and a window over policy and month finds the listed
+    ones.
     """
     if months is not None:
         snapshot = in_months(snapshot, sorted({*months, *map(previous_month, months)}))
@@ -39,10 +40,9 @@ def count_new_policies(
     month = month_number(F.col(MONTH))
     following = following_number(month)
 
-    # A row per month; six digits bound it at a million pairs of a number and a
-    # flag.  Neither a filter here nor one the join would add (hence its NULL-safe
+    # A row per month.  No filter that the join would add (hence its NULL-safe
     # comparison) reaches the scan, so the counts above are computed only once.
-    facts = counted.groupBy((following % 1_000_000).alias("listed_for")).agg(
+    facts = counted.groupBy(following.alias("listed_for")).agg(
         F.coalesce(F.sum(F.when(F.col(POLICY).isNull(), F.col("n"))) > 0, F.lit(False)).alias(
             "list_has_null"
         )
@@ -65,7 +65,7 @@ def count_new_policies(
     is_new = has_null.isNull() | (F.col(POLICY).isNotNull() & ~has_null & ~F.col("listed"))
     same_list = F.col("report_month").eqNullSafe(F.col("listed_for"))
     return (
-        current.join(F.broadcast(facts), same_list, "left")
+        current.join(facts, same_list, "left")
         .filter(is_new)
         .groupBy(month_text(F.col("report_month")).alias(MONTH), *by)
         .agg(F.sum("n").alias("n"))

@@ -8,8 +8,6 @@ compute it.
 from __future__ import annotations
 
 from cedeflow import fixed_values as fixed
-from cedeflow.samples.queries import TRIANGLE_MONTHS
-from cedeflow.samples.views import PLAN_GROUPS
 from cedeflow.samples.views_sql import with_views
 
 SHARE_95 = "0.95::DECIMAL(3,2)"
@@ -18,7 +16,8 @@ FLAG_SHARE = "CASE WHEN {0} = 'P' THEN 0.65::DECIMAL(3,2) ELSE 0.40::DECIMAL(3,2
 CODE_SHARE = FLAG_SHARE.format("code")
 ISSUE_LOAD = "CASE WHEN {0} IN ('AF', 'P', 'V') THEN 1.2::DECIMAL(3,2) ELSE 1::DECIMAL(3,2) END"
 CLAIM_LOAD = "CASE WHEN {0} IN ('3C', '3D') THEN 1.04::DECIMAL(3,2) ELSE 1.13::DECIMAL(3,2) END"
-GROUP_LIST = ", ".join(f"'{g}'" for g in PLAN_GROUPS)
+GROUPS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "ABSENT")
+TRIANGLE_MONTHS = [f"{year}{month:02d}" for year in range(1995, 2002) for month in range(1, 13)]
 BY_MONTH = "SELECT DISTINCT ym FROM px_line"
 
 
@@ -84,7 +83,18 @@ def _exact(column: str) -> str:
     return f"CAST({column} AS DECIMAL(18,6))"
 
 
-OUTFLOW = " + ".join(_exact(c) for c in fixed.OUTFLOW_COLUMNS)
+OUTFLOW = " + ".join(
+    _exact(c)
+    for c in (
+        "full_surrender",
+        "cancellation",
+        "aiw",
+        "rmd",
+        "penalty_free",
+        "partial_surrender",
+        "death_claims",
+    )
+)
 CHECKED = f"""
 SELECT *, inflow_exact::DOUBLE AS inflow, outflow_exact::DOUBLE AS outflow,
        ({_exact('beginning_fund_value')} + inflow_exact - outflow_exact)::DOUBLE AS exp_av,
@@ -157,12 +167,12 @@ def _group_report(share: str, issue: str, admin: str, issue_first: bool) -> str:
                 f" AS line_no, r.plan_group, r.type, r.total"
                 f" FROM ({sql}) r JOIN groups g ON g.plan_group = r.plan_group"
             )
-        line += width * len(PLAN_GROUPS)
+        line += width * len(GROUPS)
     return " UNION ALL ".join(parts)
 
 
 def _with_groups(body: str) -> str:
-    rows = ", ".join(f"({no}, '{g}')" for no, g in enumerate(PLAN_GROUPS, start=1))
+    rows = ", ".join(f"({no}, '{g}')" for no, g in enumerate(GROUPS, start=1))
     text = with_views(body + " -- px_line")
     return text.replace("WITH ", f"WITH groups(no, plan_group) AS (VALUES {rows}),\n", 1)
 
@@ -485,3 +495,13 @@ GROUP_BODIES = {
 ORACLE_SQL = {name: with_views(body) for name, body in BODIES.items()} | {
     name: _with_groups(body) for name, body in GROUP_BODIES.items()
 }
+
+#: A report of one month is that month of the report of all months.
+ORACLE_SQL |= {
+    f"{name}_one_month": f"SELECT * FROM ({ORACLE_SQL[all_months]}) WHERE set_month = '199801'"
+    for name, all_months in (
+        ("rollforward", "rollforward_checked"),
+        ("group_reconciliation", "group_reconciliation_95"),
+        ("treaty_reconciliation", "treaty_reconciliation"),
+    )
+}

@@ -38,14 +38,14 @@ from cedeflow.samples.views import PLAN_GROUPS, SampleViews
 
 CUT_OVER = "199806"
 SINCE = "199701"
+#: A January, so that the month before is in another year.
+ONE_MONTH = "199801"
 TRANCHES = (
     (1, None, date(1996, 12, 30)),
     (2, date(1997, 1, 1), date(1998, 6, 30)),
     (3, date(1998, 7, 1), date(1999, 12, 31)),
     (4, date(2000, 1, 1), date(2001, 3, 31)),
 )
-TRIANGLE_MONTHS = [f"{year}{month:02d}" for year in range(1995, 2002) for month in range(1, 13)]
-
 
 def _sample_terms(terms: GroupTerms) -> GroupTerms:
     return GroupTerms(**{**vars(terms), "plan_groups": PLAN_GROUPS})
@@ -84,9 +84,9 @@ def _group_inputs(v: SampleViews) -> tuple[DataFrame, DataFrame, DataFrame]:
     return v.snapshot(), v.group_premium(), v.group_withdrawals()
 
 
-def _treaty(v: SampleViews) -> DataFrame:
+def _treaty(v: SampleViews, months: str | None = None) -> DataFrame:
     return treaty_reconciliation.treaty_reconciliation(
-        v.snapshot(), v.policies(), v.all_movements(), v.premium(), v.commissions()
+        v.snapshot(), v.policies(), v.all_movements(), v.premium(), v.commissions(), months
     )
 
 
@@ -100,6 +100,14 @@ def _cohorts_plan_group(v: SampleViews) -> DataFrame:
     return cohorts.cohorts_single(v.snapshot(), value="eom_fund_value", by=["plangroup"])
 
 
+def _triangle(v: SampleViews, make: Callable[..., DataFrame]) -> DataFrame:
+    """A column for every month of the years that the line items cover."""
+    ends = v.lines().agg(F.min("set_month").alias("first"), F.max("set_month").alias("last")).first()
+    years = range(int(ends.first[:4]), int(ends.last[:4]) + 1) if ends.first else ()
+    months = [f"{year}{month:02d}" for year in years for month in range(1, 13)]
+    return make(_cohorts_plan_group(v), months)
+
+
 def _life_face(v: SampleViews) -> DataFrame:
     return tranches.life_face(v.life_snapshot(), v.life_annuities(), v.life_codes(), TRANCHES)
 
@@ -184,6 +192,9 @@ REPORTS: dict[str, Callable[[SampleViews], DataFrame]] = {
     "rollforward_new": lambda v: rollforward_new(*_rollforward_inputs(v)),
     "rollforward_checked": _checked,
     "rollforward_difference": lambda v: total_difference(_checked(v)),
+    "rollforward_one_month": lambda v: with_checks(
+        rollforward(*_rollforward_inputs(v), months=ONE_MONTH)
+    ),
     # plan-group reconciliation
     "group_reconciliation_95": lambda v: _rounded(
         group_reconciliation(*_group_inputs(v), SAMPLE_95)
@@ -191,6 +202,9 @@ REPORTS: dict[str, Callable[[SampleViews], DataFrame]] = {
     "group_reconciliation_50": lambda v: _rounded(
         group_reconciliation(*_group_inputs(v), SAMPLE_50)
     ),
+    "group_reconciliation_one_month": lambda v: _rounded(
+        group_reconciliation(*_group_inputs(v), SAMPLE_95, ONE_MONTH)
+    ),
     "group_premium_cells": lambda v: premium_cells(v.group_premium(), SAMPLE_95),
     "group_withdrawal_cells": lambda v: withdrawal_cells(v.group_withdrawals(), SAMPLE_95),
     "group_snapshot_cells": lambda v: _rounded(snapshot_cells(v.snapshot(), SAMPLE_95)),
@@ -200,6 +214,7 @@ REPORTS: dict[str, Callable[[SampleViews], DataFrame]] = {
     ),
     # treaty reconciliation
     "treaty_reconciliation": _treaty,
+    "treaty_reconciliation_one_month": lambda v: _treaty(v, ONE_MONTH),
     "treaty_movement_totals": lambda v: treaty_reconciliation.movement_totals(
         v.all_movements(), v.policies()
     ),
@@ -218,8 +233,8 @@ REPORTS: dict[str, Callable[[SampleViews], DataFrame]] = {
         v.new_system(), v.snapshot(), v.surrenders(), CUT_OVER
     ),
     "active_not_surrendered": _active_counts,
-    "triangle_new": lambda v: triangle_new(_cohorts_plan_group(v), TRIANGLE_MONTHS),
-    "triangle_in_force": lambda v: triangle_in_force(_cohorts_plan_group(v), TRIANGLE_MONTHS),
+    "triangle_new": lambda v: _triangle(v, triangle_new),
+    "triangle_in_force": lambda v: _triangle(v, triangle_in_force),
     # net account value
     "net_av_dedup": lambda v: _by_prefix(
         lambda p: account_value.net_av_dedup(

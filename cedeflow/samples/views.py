@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from cedeflow import fixed_values as fixed
 from cedeflow.functions.months import month_of
 
-# Narrow enough that sums over it stay in eighteen digits, which Spark keeps in a long.
-MONEY = "decimal(8,2)"
-PLAN_GROUPS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "ABSENT")
+MONEY = "decimal(12,2)"
+# Every first word of a part's type, and one that no part has.
+PLAN_GROUPS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "ABSENT")
 WITHDRAWAL_BY_LINE = dict(enumerate(fixed.WITHDRAWAL_TYPES[:7], start=1))
 MOVEMENT_BY_LINE = {
     1: "full_surrenders",

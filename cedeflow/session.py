@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    # A value or month that does not fit is an error, not a NULL that drops its row.
+    "spark.sql.ansi.enabled": "true",
     # Call sites per expression are for debugging; they make wide plans slow to build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -15,12 +15,15 @@ def write_monthly(
 ) -> None:
     """One directory per month; months already there are replaced, others kept.
 
-    The rebalance hint lets Spark split a large month over several files and
-    merge small ones.  ``sort`` orders the rows within each file.
+    Without ``sort`` the rebalance hint lets Spark split a large month over
+    several files and merge small ones.  ``sort`` orders the rows of a month:
+    its files hold ranges that follow each other, and are sorted themselves.
     """
-    rows = report.hint("rebalance", F.col("set_month"))
     if sort:
-        rows = rows.sortWithinPartitions("set_month", *sort)
+        by = ["set_month", *sort]
+        rows = report.repartitionByRange(*by).sortWithinPartitions(*by)
+    else:
+        rows = report.hint("rebalance", F.col("set_month"))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cedeflow.operators.movements import tag_movements
 
+MONTH = "set_month"
+INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
 
 class Tables:
     """The tables a block's reports may read, by their name in the report.
@@ -15,6 +18,10 @@ class Tables:
     A location with a slash is a directory or file of the given format; any
     other is a table of the session's catalog.  Only names listed here can be
     read, so a name taken from a parameter cannot reach another table.
+
+    ``set_month`` is text in every table, also in a directory partitioned by it:
+    its partition values are taken as they are written, leading zeros included,
+    and a filter on them still prunes directories.
     """
 
     def __init__(
@@ -31,13 +38,21 @@ class Tables:
             raise KeyError(f"unknown table {name!r}; known tables: {known}")
         if name not in self._read:
             location = self.locations[name]
-            if "/" in location:
-                frame = self.spark.read.format(self.file_format).load(location)
-            else:
-                frame = self.spark.table(location)
+            frame = self._load(location) if "/" in location else self.spark.table(location)
+            if dict(frame.dtypes).get(MONTH, "string") != "string":
+                frame = frame.withColumn(MONTH, frame[MONTH].cast("string"))
             self._read[name] = frame
         return self._read[name]
 
+    def _load(self, location: str) -> DataFrame:
+        """The files of a directory, without guessing types of partition values."""
+        before = self.spark.conf.get(INFERENCE)
+        self.spark.conf.set(INFERENCE, "false")
+        try:
+            return self.spark.read.format(self.file_format).load(location)
+        finally:
+            self.spark.conf.set(INFERENCE, before)
+
     def movements(self, kinds: Iterable[str]) -> DataFrame:
         """The movement tables of the given kinds as one long frame."""
         return tag_movements({kind: self[kind] for kind in kinds})

@@ -4,6 +4,7 @@ import itertools
 
 import pytest
 
+from cedeflow import fixed_values as fixed
 from cedeflow.operators.absence import not_in, not_in_as_of
 from cedeflow.operators.new_policies import count_new_policies
 from helpers import plan_of, rows
@@ -86,3 +87,27 @@ def test_one_policy_with_most_rows(frame):
         ("202401", 500),
         ("202402", 20),
     ]
+
+
+@pytest.mark.parametrize("month", ["009912", "202401", "1234567", None])
+def test_not_in_by_any_month(frame, spark, month):
+    data = frame("k string, m string", ("a", month), ("b", month), (None, month), ("c", "202402"))
+    listed = frame("k string, m string", ("a", month), (None, month), ("d", "202402"))
+    data.createOrReplaceTempView("r")
+    listed.createOrReplaceTempView("l")
+    expected = spark.sql("SELECT * FROM r WHERE r.k NOT IN (SELECT l.k FROM l WHERE l.m = r.m)")
+    assert rows(not_in(data, listed, "k", "m")) == rows(expected)
+
+
+def test_group_outside_the_terms_is_left_out(frame):
+    from cedeflow.operators.group_reconciliation import TERMS_95, withdrawal_cells
+
+    kind = fixed.WITHDRAWAL_TYPES[0]
+    moved = frame(
+        "set_month string, plangroup string, withdrawal_type string, withdrawal_amount double",
+        ("202401", TERMS_95.plan_groups[0], kind, 10.0),
+        ("202401", "NOT A GROUP", kind, 10.0),
+    )
+    assert {r.plan_group for r in withdrawal_cells(moved, TERMS_95).collect()} == {
+        TERMS_95.plan_groups[0]
+    }

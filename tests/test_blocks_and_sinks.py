@@ -196,3 +196,43 @@ def test_sorted_outputs(frame, spark, tmp_path):
     assert len(files) == 1
     got = [r["k"] for r in spark.read.parquet(str(tmp_path / "monthly")).collect()]
     assert got == sorted(got)
+
+
+def test_a_month_in_order_over_several_files(frame, spark, tmp_path):
+    report = frame("set_month string, k int", *[("202401", i * 7 % 500) for i in range(500)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_monthly(report.repartition(4), str(tmp_path / "monthly"), ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    month = tmp_path / "monthly" / "set_month=202401"
+    files = sorted(f for f in os.listdir(month) if f.endswith(".parquet"))
+    assert len(files) > 1
+    parts = [[r["k"] for r in spark.read.parquet(str(month / f)).collect()] for f in files]
+    assert [k for part in parts for k in part] == sorted(i * 7 % 500 for i in range(500))
+
+
+def test_months_of_a_partitioned_table_are_text(frame, spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cedeflow.operators.account_value import net_av_flat
+    from cedeflow.operators.cohorts import cohorts_single
+    from cedeflow.sources.tables import Tables
+
+    data = frame(
+        "policy_number string, set_month string, reported_date string, term string, "
+        "gross_account_value double, eom_fund_value double",
+        ("a", "202401", "202401", "x", 1.0, 2.0),
+        ("b", "009912", "009912", "x", 1.0, 3.0),
+    )
+    data.write.parquet(str(tmp_path / "flat"))
+    data.write.partitionBy("set_month").parquet(str(tmp_path / "by_month"))
+    tables = Tables(spark, {"flat": str(tmp_path / "flat"), "by_month": str(tmp_path / "by_month")})
+    for make in (cohorts_single, net_av_flat):
+        flat, parted = make(tables["flat"]), make(tables["by_month"])
+        assert dict(parted.dtypes) == dict(flat.dtypes)
+        assert rows(parted, *flat.columns) == rows(flat)
+    one = tables["by_month"].filter(F.col("set_month").isin(["009912"]))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "009912" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert one.count() == 1

@@ -202,7 +202,28 @@ def test_triangles(frame):
     ]
 
 
-def test_one_shuffle_of_the_snapshot(frame):
-    snapshot = frame(SINGLE, ("a", "202401", "202401", 1.0))
-    plan = plan_of(cohorts_single(snapshot))
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+def test_one_scan_and_one_wide_shuffle_of_the_snapshot(frame, spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    frame(SINGLE, ("a", "202401", "202401", 1.0), ("b", "202402", "202401", 1.0)).write.parquet(path)
+    report = cohorts_single(spark.read.parquet(path))
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 2  # by policy, then by month
+    assert "Join" not in plan
+
+
+def test_months_that_are_no_calendar_months_stay(frame):
+    snapshot = frame(
+        SINGLE,
+        ("a", None, "202401", 1.0),
+        ("b", "202413", "202401", 1.0),
+        ("c", "002401", "202401", 1.0),
+        ("c", "202401", "202401", 1.0),
+    )
+    assert rows(cohorts_single(snapshot)) == [
+        ("002401", "2024", 1, 1),
+        ("202401", "2024", 1, 0),
+        ("202413", "2024", 1, 1),
+        (None, "2024", 1, 0),
+    ]
