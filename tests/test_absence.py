@@ -108,6 +108,6 @@ def test_group_outside_the_terms_is_left_out(frame):
         ("202401", TERMS_95.plan_groups[0], kind, 10.0),
         ("202401", "NOT A GROUP", kind, 10.0),
     )
-    assert {r.plan_group for r in withdrawal_cells(moved, TERMS_95).collect()} == {
+    assert {r.plangroup for r in withdrawal_cells(moved, TERMS_95).collect()} == {
         TERMS_95.plan_groups[0]
     }
