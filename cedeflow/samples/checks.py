@@ -498,7 +498,7 @@ ORACLE_SQL = {name: with_views(body) for name, body in BODIES.items()} | {
 
 #: A report of one month is that month of the report of all months.
 ORACLE_SQL |= {
-    f"{name}_one_month": f"SELECT * FROM ({ORACLE_SQL[all_months]}) WHERE set_month = '199801'"
+    f"{name}_one_month": f"SELECT * FROM ({ORACLE_SQL[all_months]}\n) WHERE set_month = '199801'"
     for name, all_months in (
         ("rollforward", "rollforward_checked"),
         ("group_reconciliation", "group_reconciliation_95"),
