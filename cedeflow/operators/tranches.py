@@ -52,13 +52,19 @@ def life_face(
 
     Everything is summed per policy and month before the annuity join: the
     face amount is linear in both sides, so each key is one row on either.
-    The code lookup is left to Spark, which broadcasts it if it is small and
-    else splits codes that hold too many policies.
+    The code lookup is counted to one row a code, so that the join adds no rows
+    however often a code is listed.  It is left to Spark, which broadcasts it if
+    it is small and else splits codes that hold too many policies.
     """
-    exhibits = codes.select(F.col("valcode_new").alias("code"), "exhibit").filter(
-        F.col("exhibit").isin(fixed.LIFE_EXHIBIT, fixed.ANNUITY_EXHIBIT)
-    )
     is_life = F.col("exhibit") == fixed.LIFE_EXHIBIT
+    exhibits = (
+        codes.filter(F.col("exhibit").isin(fixed.LIFE_EXHIBIT, fixed.ANNUITY_EXHIBIT))
+        .groupBy(F.col("valcode_new").alias("code"))
+        .agg(
+            F.count_if(is_life).cast("int").alias("n_life"),
+            F.count_if(~is_life).alias("n_annuity"),
+        )
+    )
     held = (
         snapshot.withColumn("code", reserve_code(F.col("pbfrsvcd1")))
         .join(exhibits, "code")
@@ -68,8 +74,10 @@ def life_face(
             tranche_of(F.col("pmdissuedt"), tranches).alias("tranche_mapping"),
         )
         .agg(
-            F.sum(F.when(is_life, F.col("pbfamt"))).alias("life_face"),
-            F.count_if(~is_life).alias("annuity_rows"),
+            F.sum(F.when(F.col("n_life") > 0, F.col("pbfamt") * F.col("n_life"))).alias(
+                "life_face"
+            ),
+            F.sum("n_annuity").alias("annuity_rows"),
         )
     )
     paying = annuities.groupBy(F.col("policyno").alias("policy"), "set_month").agg(
