@@ -37,22 +37,25 @@ def tempered_shares(
     return weighed.select("key", F.greatest(F.lit(1), share).alias("share"))
 
 
-def _numbered(rows: DataFrame, range_docs: int) -> DataFrame:
-    """``row, key, nth`` from ``row, key, h, tie``: each row's place in its source.
+def _numbered(rows: DataFrame, sources: DataFrame, range_docs: int) -> DataFrame:
+    """``row, key, nth`` from ``row, key, h, tie``: each row's place in its source,
+    with the other columns of ``sources``.
 
     Hash ranges of a bounded number of rows are numbered apart and then offset
-    by the source's rows before, so a hot source is spread over its ranges.
+    by the source's rows before, so a hot source is spread over its ranges. What
+    is known of a source comes with its ranges too, not by a join on the source.
     """
     bits = max(0, rows.count() // range_docs).bit_length()
     ranged = rows.withColumn("range", F.shiftright("h", 64 - bits) if bits else F.lit(0).cast("long"))
     sizes = ranged.groupBy("key", "range").agg(F.count(F.lit(1)).alias("k"))
     upto = F.sum("k").over(Window.partitionBy("key").orderBy("range"))
-    starts = sizes.select("key", "range", (upto - F.col("k")).alias("before"))
+    starts = sizes.select("key", "range", (upto - F.col("k")).alias("before")).join(sources, "key")
     within = F.row_number().over(Window.partitionBy("key", "range").orderBy("h", "tie"))
     return (
         ranged.withColumn("within", within)
         .join(starts, ["key", "range"])
-        .select("row", "key", (F.col("before") + F.col("within") - 1).alias("nth"))
+        .withColumn("nth", F.col("before") + F.col("within") - 1)
+        .drop("h", "tie", "range", "within", "before")
     )
 
 
@@ -211,8 +214,7 @@ def mixed(
         F.array_sort(F.collect_set(F.struct("first_round", "at"))).alias("forms")
     )
     placed = (
-        _numbered(rows, range_docs)
-        .join(sources.join(firsts, "key").select("key", "share", "forms"), "key")
+        _numbered(rows, sources.join(firsts, "key").select("key", "share", "forms"), range_docs)
         .withColumn("block", F.floor(F.col("nth") / block_docs))
         .withColumn("round", F.floor(F.col("block") / F.col("share")))
         .withColumn("nth_in_round", F.col("block") % F.col("share"))
