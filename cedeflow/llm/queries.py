@@ -83,7 +83,75 @@ QUERIES: dict[str, Query] = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+#: Fixed rules by their length, then rules by counting every set of tokens.
+_URL_SQL = f"""
+    WITH parsed AS (
+        SELECT page_id, coalesce(url, '') AS url,
+               translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                         '{_UPPER}', '{_UPPER.lower()}') AS host,
+               regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+        FROM pages),
+    tokened AS (
+        SELECT page_id, host, path, CASE WHEN host = '' THEN [] ELSE list_sort(list_distinct(list_filter(
+            list_concat(
+                ['scheme:' || lower(regexp_extract(url, '^(\\w+)://', 1)),
+                 'site:' || regexp_extract(host, '([^.]+\\.[^.]+)$', 1),
+                 'host:' || host,
+                 'first:' || regexp_extract(host, '^([^.]+)', 1),
+                 'dir:' || regexp_extract(path, '^/([^/0-9]+)/', 1),
+                 'ending:' || regexp_extract(path, '\\.([A-Za-z]+)$', 1),
+                 CASE WHEN contains(url, '#') THEN 'has:fragment' ELSE ':' END],
+                list_transform(string_split(regexp_extract(url, '(?s)\\?([^#]*)', 1), '&'),
+                               lambda k: 'key:' || split_part(k, '=', 1))),
+            lambda t: NOT suffix(t, ':')))) END AS tokens,
+            try_cast(regexp_extract(path, '/(\\d{{1,18}})(?:\\.[A-Za-z]+)?/?$', 1) AS BIGINT) AS number
+        FROM parsed),
+    known AS (
+        SELECT doc_id, bool_or(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad
+        FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
+    one AS (SELECT page_id, unnest(tokens) AS t FROM tokened),
+    sets AS (
+        SELECT page_id, [t] AS tokens FROM one
+        UNION ALL
+        SELECT a.page_id, [a.t, b.t] FROM one a JOIN one b ON a.page_id = b.page_id AND a.t < b.t
+        UNION ALL
+        SELECT a.page_id, [a.t, b.t, c.t] FROM one a JOIN one b ON a.page_id = b.page_id AND a.t < b.t
+        JOIN one c ON c.page_id = a.page_id AND b.t < c.t),
+    labelled AS (
+        SELECT page_id, bad FROM tokened JOIN known ON number = doc_id WHERE len(tokens) > 0),
+    good AS (
+        SELECT tokens, sum(bad::INT) / count(*) AS confidence FROM sets JOIN labelled USING (page_id)
+        GROUP BY tokens
+        HAVING sum(bad::INT) >= greatest(20, ceil(0.002 * (SELECT count(*) FROM labelled)))
+           AND sum(bad::INT) / count(*) >= 0.5),
+    rules AS (
+        SELECT * FROM good g WHERE NOT EXISTS (
+            SELECT 1 FROM good h WHERE len(h.tokens) < len(g.tokens) AND list_has_all(g.tokens, h.tokens))),
+    held AS (
+        SELECT page_id, max({{'c': confidence, 'r': array_to_string(tokens, ' ')}}).r AS mined
+        FROM sets JOIN rules USING (tokens) GROUP BY page_id),
+    ruled AS (
+        SELECT *, CASE
+            WHEN (host = 'example.org' OR suffix(host, '.example.org')) AND prefix(path, '/en/1')
+                THEN 'example.org/en/1'
+            WHEN (host = 'example.org' OR suffix(host, '.example.org')) AND prefix(path, '/es/')
+                THEN 'example.org/es/'
+            WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/fr/') THEN 'com/fr/'
+            WHEN (host = 'com' OR suffix(host, '.com')) AND prefix(path, '/de/') THEN 'com/de/'
+            WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/') THEN 'org/'
+            END AS rule
+        FROM tokened)
+    SELECT page_id, host, path, rule,
+           CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                WHEN mined IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+           CASE WHEN rule IS NULL THEN mined END AS mined_rule
+    FROM ruled LEFT JOIN held USING (page_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_url_filter": _URL_SQL,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
