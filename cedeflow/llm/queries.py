@@ -45,7 +45,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = fuzzy_lines.deduplicated(_table(spark, sf_dir, "documents"))
+    done = fuzzy_lines.deduplicated(_table(spark, sf_dir, "documents"), radius=None)
     return done.select("row.doc_id", "text", "n_lines", "n_dropped")
 
 
