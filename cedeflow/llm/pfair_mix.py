@@ -242,3 +242,15 @@ def in_mixed_order(docs: DataFrame, shares: DataFrame | None = None) -> DataFram
         .sortWithinPartitions("position")
         .select("row.*")
     )
+
+
+def written_position() -> Column:
+    """The place of a row that is read from the written files of ``in_mixed_order``.
+
+    Files are numbered by the range that they hold, then in it; how Spark splits
+    or orders them when it reads has no part in it.
+    """
+    name = F.col("_metadata.file_name")
+    part = F.regexp_extract(name, r"^part-(\d+)", 1).cast("long")
+    nth = F.regexp_extract(name, r"-c(\d+)", 1).cast("long")
+    return F.shiftleft(part, 44) + F.shiftleft(nth, 34) + F.col("_metadata.row_index")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from cedeflow.llm.covering_simhash import near_duplicates
+from cedeflow.llm.pfair_mix import BLOCK_DOCS, mixed
 from cedeflow.llm.queries import ORACLE_SQL, QUERIES
 from cedeflow.llm.storage import written
 
@@ -32,3 +33,28 @@ def test_stages(spark, docs_rows):
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+
+
+def test_the_tokens_keep_the_order_of_the_mix(spark, frame):
+    sizes = {"a": 900, "b": 300, "c": 100}
+    rows = [(i, "some words here", "en", s, 15) for k, (s, n) in enumerate(sizes.items()) for i in range(1000 * k, 1000 * k + n)]
+    docs = frame("doc_id long, text string, lang string, source string, n_chars long", *rows)
+    wanted = [r.doc_id for r in mixed(docs).orderBy("position").select("row.doc_id").collect()]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        stage = written(corpus_pipeline.mixing(spark, docs, SF))
+        assert len(stage.inputFiles()) > 1
+    finally:
+        spark.conf.set(name, before)
+    got = corpus_pipeline.tokens(spark, stage, SF).orderBy("mix_position").collect()
+    assert [r.doc_id for r in got] == wanted and len({r.mix_position for r in got}) == len(rows)
+    blocks = {s: -(-n // BLOCK_DOCS) for s, n in sizes.items()}
+    seen, done, slots = dict.fromkeys(sizes, 0), dict.fromkeys(sizes, 0), 0
+    for r in got:
+        if seen[r.source] % BLOCK_DOCS == 0:
+            done[r.source] += 1
+            slots += 1
+            assert all(abs(done[s] - slots * blocks[s] / sum(blocks.values())) < 1 for s in sizes)
+        seen[r.source] += 1
