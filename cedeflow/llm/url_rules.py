@@ -21,6 +21,7 @@ FIXED_RULES = (
 MIN_SUPPORT = 0.002
 MIN_COUNT = 20
 MIN_CONFIDENCE = 0.5
+#: Tokens of the sets that the SQL check counts, at most; mined rules may have more.
 MAX_TOKENS = 3
 BLOCKED = "=blocked"
 
@@ -81,7 +82,7 @@ def mined_rules(labelled: DataFrame) -> DataFrame:
     """``rule, tokens, confidence`` mined from ``tokens, blocked``.
 
     FP-growth finds the token sets that occur often with blocked URLs; a set of
-    up to ``MAX_TOKENS`` is a rule if at least ``MIN_CONFIDENCE`` of the URLs
+    any size is a rule if at least ``MIN_CONFIDENCE`` of the URLs
     that hold it are blocked. Rules that a smaller rule implies are left out. No
     labelled rows, no rules.
     """
@@ -98,19 +99,23 @@ def mined_rules(labelled: DataFrame) -> DataFrame:
     rules = written(
         mined.associationRules.filter(
             (F.col("consequent") == F.array(F.lit(BLOCKED)))
-            & (F.size("antecedent") <= MAX_TOKENS)
             & (F.col("confidence") * F.lit(1.0) >= MIN_CONFIDENCE)
         ).select(F.array_sort("antecedent").alias("tokens"), "confidence")
     ).withColumn("rule", F.array_join("tokens", " "))
-    # each rule against its own smaller token sets, which are few and fixed in number
-    ones = F.transform(F.col("tokens"), lambda t: F.array(t))
-    pairs = F.transform(F.col("tokens"), lambda t: F.array_except(F.col("tokens"), F.array(t)))
-    parts = rules.select(
-        F.col("rule").alias("whole"),
-        F.explode(F.array_union(ones, pairs)).alias("part"),
-    ).select("whole", F.array_join("part", " ").alias("rule"))
-    implied = parts.filter("whole != rule").join(rules.select("rule"), "rule").select(
-        F.col("whole").alias("rule")
+    # each rule meets the smaller ones that are indexed by one of its tokens, their rarest
+    tokens = rules.select("rule", "tokens", F.explode("tokens").alias("token"))
+    rarity = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
+    smaller = (
+        tokens.join(rarity, "token")
+        .groupBy(F.col("rule").alias("part"))
+        .agg(F.first("tokens").alias("held"), F.min(F.struct("k", "token"))["token"].alias("token"))
+    )
+    implied = (
+        tokens.join(smaller, "token")
+        .filter(
+            (F.size("held") < F.size("tokens")) & (F.size(F.array_except("held", "tokens")) == 0)
+        )
+        .select("rule")
     )
     return rules.join(implied.distinct(), "rule", "left_anti")
 

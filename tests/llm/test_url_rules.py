@@ -59,3 +59,31 @@ def test_mined_rule_blocks(frame):
                    *[(i, 0, None) for i in range(30)], *[(100 + i, 1, 0) for i in range(40)])
     got = {r.page_id: (r.verdict, r.rule) for r in url_verdicts(pages, labels).collect()}
     assert all(got[i] == ("block" if i < 100 else "allow", None) for i in got) and len(got) == 80
+
+
+def test_a_rule_of_four_tokens_is_mined(frame):
+    """Confidence is reached by dir, ending, key and scheme together; any three are mostly clean."""
+    rows, i = [], 0
+    for n in range(16):
+        bad = n == 15
+        for k in range(40):
+            i += 1
+            scheme, folder = ("http", "ftp")[not n & 1], ("xx", "yy")[not n & 2]
+            ending, key = ("php", "html")[not n & 4], ("id", "no")[not n & 8]
+            rows.append((i, f"{scheme}://h{i}.s{i}.d{i}/{folder}/{i}.{ending}?{key}=1", bad and k < 30))
+    labelled = frame("doc_id long, url string, blocked boolean", *rows).select(
+        url_tokens(F.col("url")).alias("tokens"), "blocked")
+    sets: dict = {}
+    for row in labelled.collect():
+        for size in range(1, len(row.tokens) + 1):
+            for chosen in combinations(sorted(row.tokens), size):
+                n, bad = sets.get(chosen, (0, 0))
+                sets[chosen] = n + 1, bad + row.blocked
+    good = {c: bad / n for c, (n, bad) in sets.items() if bad >= 20 and bad / n >= 0.5}
+    least = {c: v for c, v in good.items() if not any(set(d) < set(c) for d in good)}
+    got = {tuple(r.tokens): r.confidence for r in mined_rules(labelled).collect()}
+    assert got == least and [len(c) for c in got] == [4]
+    pages = frame("page_id long, url string", *[(i, u) for i, u, _ in rows])
+    labels = frame("doc_id long, quality int, toxic int", *[(i, int(not b), 0) for i, _, b in rows])
+    blocked = {r.page_id for r in url_verdicts(pages, labels).filter("verdict = 'block'").collect()}
+    assert blocked == set(range(601, 641))
