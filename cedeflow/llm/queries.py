@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cedeflow.llm import (
     covering_simhash,
     digest_index,
+    fill_middle,
     fuzzy_lines,
+    grid_order_join,
     html_density,
     license_scan,
     ordinal_toxicity,
@@ -17,6 +20,7 @@ from cedeflow.llm import (
     robust_quality,
     suffix_pieces,
     url_rules,
+    va_clusters,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +74,30 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_pieces.round_trips(_table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = va_clusters.clustered(_table(spark, sf_dir, "embeddings"))
+    numbers = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return rows.withColumn("centroid_sha256", F.sha2(numbers, 256)).drop("centroid")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    text = fill_middle.restored(F.col("output"), F.col("form"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_order_join.linked_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_source_mixing": op2_source_mixing,
@@ -81,6 +109,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -150,6 +181,97 @@ _URL_SQL = f"""
     FROM ruled LEFT JOIN held USING (page_id)
 """
 
+
+
+def _assigned_sql(number: int) -> str:
+    """Every vector's nearest centroid of one round, as ``best`` with its distance."""
+    return f"""a{number} AS MATERIALIZED (
+        SELECT vec_id, any_value(q.v) AS v, min({{'d': list_sum(list_transform(list_zip(q.v, c.v),
+               lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'c': c.c}}) AS best
+        FROM q, c{number} c GROUP BY vec_id)"""
+
+
+def _moved_sql(number: int) -> str:
+    """The centroids after a round; one without vectors stays."""
+    return f"""c{number + 1} AS MATERIALIZED (
+        SELECT c.c, coalesce(m.v, c.v) AS v FROM c{number} c LEFT JOIN (
+            SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+                SELECT best.c AS c, i, sum(v[i])::BIGINT AS s, count(*) AS n
+                FROM a{number}, unnest(range(1, 65)) AS u(i) GROUP BY best.c, i)
+            GROUP BY c) m ON m.c = c.c)"""
+
+
+_CLUSTER_ROUNDS = ",\n".join(f"{_assigned_sql(i)},\n{_moved_sql(i)}" for i in range(5))
+_CLUSTER_SQL = f"""
+    WITH q AS MATERIALIZED (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE len(embedding) = 64
+          AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+    c0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v
+        FROM q ORDER BY sha256('2:' || vec_id) LIMIT 40),
+    {_CLUSTER_ROUNDS},
+    {_assigned_sql(5)}
+    SELECT a.vec_id, a.best.c::INTEGER AS cluster, a.best.d::BIGINT AS distance,
+           (sum(a.best.d) OVER (PARTITION BY a.best.c))::BIGINT AS cluster_inertia,
+           (sum(a.best.d) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(c.v, ',')) AS centroid_sha256
+    FROM a5 a JOIN c5 c ON c.c = a.best.c
+"""
+
+_MIDDLE_SQL = """
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+               regexp_extract_all(coalesce(text, ''),
+                   '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units
+        FROM documents),
+    drawn AS (
+        SELECT *, len(units) AS n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2,
+               ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4
+        FROM cut),
+    formed AS (
+        SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                         OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                       WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+               least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high
+        FROM drawn),
+    parted AS (
+        SELECT *, array_to_string(list_slice(units, 1, low), '') AS p,
+               array_to_string(list_slice(units, low + 1, high), '') AS m,
+               array_to_string(list_slice(units, high + 1, n), '') AS s
+        FROM formed)
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+                  ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parted
+"""
+
+_VECTOR_LINKS_SQL = """
+    WITH RECURSIVE unit AS (
+        SELECT vec_id, label, len(embedding) AS dim, embedding::DOUBLE[] AS v,
+               sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b
+          ON a.label = b.label AND a.dim = b.dim AND a.vec_id <> b.vec_id
+        WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.93),
+    reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION
+        SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+    counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM least LEFT JOIN counts USING (vec_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": _URL_SQL,
     "op8_exact_dedup": """
@@ -158,4 +280,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_centroid_clustering": _CLUSTER_SQL,
+    "op12_fill_in_middle": _MIDDLE_SQL,
+    "op13_embedding_near_dedup": _VECTOR_LINKS_SQL,
 }
