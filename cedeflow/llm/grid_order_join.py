@@ -36,11 +36,14 @@ def usable(label: Column, vector: Column) -> Column:
     return F.coalesce(label.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """List values of one length as unit vectors, a row each."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    vectors = flat.reshape(-1, dim)
-    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+def _scaled(column: pa.Array, dim: int) -> np.ndarray:
+    """List values of one length, a row each, over a power of two near the largest."""
+    vectors = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    _, exponents = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponents)
+
+
+def _units(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
@@ -54,7 +57,7 @@ def principal_axes(classes: DataFrame, dim: int, leading: int) -> np.ndarray:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         second, first, n = np.zeros((dim, dim)), np.zeros(dim), 0
         for batch in batches:
-            vectors = _matrix(batch.column(0), dim)
+            vectors = _units(_scaled(batch.column(0), dim))
             second += vectors.T @ vectors
             first += vectors.sum(axis=0)
             n += len(vectors)
@@ -93,7 +96,8 @@ def _ordered(classes: DataFrame, eps: float, axes: dict[int, np.ndarray], leadin
             dims = batch.column(2).to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                at = leading_coordinates(_matrix(part.column(4), int(dim)), axes.get(int(dim)), leading)
+                vectors = _units(_scaled(part.column(4), int(dim)))
+                at = leading_coordinates(vectors, axes.get(int(dim)), leading)
                 lists = pa.array(list(at), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], [*names, "lead"])
 
@@ -187,11 +191,12 @@ def near_tiles(ordered: DataFrame, eps: float, tile_rows: int, leading: int, fan
 class _Links:
     """Links of the vectors of one or two tiles, as counts and components."""
 
-    def __init__(self, vectors: np.ndarray, lead: np.ndarray, n: np.ndarray, threshold: float) -> None:
-        self.vectors, self.lead, self.n, self.threshold = vectors, lead, n, threshold
+    def __init__(self, scaled: np.ndarray, lead: np.ndarray, n: np.ndarray, threshold: float) -> None:
+        self.scaled, self.vectors = scaled, _units(scaled)
+        self.lead, self.n, self.threshold = lead, n, threshold
         self.limit = (2 - 2 * threshold) * (1 + SLACK) + SLACK
-        self.links = np.zeros(len(vectors), np.int64)
-        self.root = np.arange(len(vectors))
+        self.links = np.zeros(len(scaled), np.int64)
+        self.root = np.arange(len(scaled))
         self.boxes: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
     def _box(self, interval: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +232,7 @@ class _Links:
                 stack += [(a, (b[0], middle)), (a, (middle, b[1]))]
 
     def _cosine(self, i: int, j: int) -> float:
-        x, y = self.vectors[i], self.vectors[j]
+        x, y = self.scaled[i], self.scaled[j]
         return math.fsum(x * y) / math.sqrt(math.fsum(x * x) * math.fsum(y * y))
 
     def _compare(self, a: tuple[int, int], b: tuple[int, int]) -> None:
@@ -266,12 +271,12 @@ def _tile_links(
     """``class_id, links, root`` of the linked classes of a pair of tiles."""
     table = table.sort_by("seq").combine_chunks()
     dim = table.column("dim")[0].as_py()
-    vectors = _matrix(table.column("embedding").combine_chunks(), dim)
-    lead = leading_coordinates(vectors, axes.get(dim), leading)
-    found = _Links(vectors, lead, table.column("n").to_numpy(), threshold)
+    scaled = _scaled(table.column("embedding").combine_chunks(), dim)
+    lead = leading_coordinates(_units(scaled), axes.get(dim), leading)
+    found = _Links(scaled, lead, table.column("n").to_numpy(), threshold)
     a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
     cut = int((table.column("tile").to_numpy() == a).sum())
-    found.join((0, cut), (0, cut) if a == b else (cut, len(vectors)), leaf)
+    found.join((0, cut), (0, cut) if a == b else (cut, len(scaled)), leaf)
     linked = np.nonzero(found.links)[0]
     ids = table.column("class_id").to_numpy()
     return pa.table(

@@ -22,7 +22,7 @@ LIMIT = 1 << 27
 BUCKET_ROWS = 250_000
 #: Vectors whose intervals are summed at once.
 SLICE = 4096
-SUMS = "cluster int, n long, sums array<long>"
+SUMS = "cluster int, d int, x long"
 
 
 def usable(vector: Column, dim: int) -> Column:
@@ -89,17 +89,23 @@ class Cells:
         return np.minimum(at_low, at_high), np.maximum(at_low, at_high)
 
 
-def fitted_cells(points: DataFrame, dim: int, bits: int) -> Cells:
+def fitted_cells(points: DataFrame, bits: int) -> Cells:
     """Cells by the approximate quantiles and the exact ends of all vectors."""
     count = 1 << bits
     fractions = [i / count for i in range(1, count)]
-    at = [F.get("point", F.lit(d)) for d in range(dim)]
-    row = points.agg(
-        F.array(*(F.percentile_approx(x, fractions, 1000) for x in at)).alias("inner"),
-        F.array(*(F.min(x) for x in at)).alias("least"),
-        F.array(*(F.max(x) for x in at)).alias("most"),
-    ).first()
-    return Cells(np.array(row.inner), np.array(row.least), np.array(row.most), bits)
+    rows = (
+        points.select(F.posexplode("point").alias("d", "x"))
+        .groupBy("d")
+        .agg(
+            F.percentile_approx("x", fractions, 1000).alias("inner"),
+            F.min("x").alias("least"),
+            F.max("x").alias("most"),
+        )
+        .orderBy("d")
+        .collect()
+    )
+    inner, least, most = (np.array([row[name] for row in rows]) for name in ("inner", "least", "most"))
+    return Cells(inner, least, most, bits)
 
 
 def first_centroids(points: DataFrame, k: int, seed: int) -> np.ndarray:
@@ -223,22 +229,21 @@ def distance_to(centroids: np.ndarray):
 
 
 def _sums(dim: int):
-    """Counts and sums of a task's vectors by cluster, each with its sign."""
+    """A task's counts, at ``d = 0``, and sums by cluster, each with its sign."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, int] = {}
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             points = _bytes_matrix(batch.column(0), np.dtype("<i4")).astype(np.int64)
             for sign, column in ((1, batch.column(1)), (-1, batch.column(2))):
                 clusters = column.fill_null(-1).to_numpy()
                 for c in map(int, np.unique(clusters[clusters >= 0])):
-                    held = clusters == c
-                    counts[c] = counts.get(c, 0) + sign * int(held.sum())
-                    sums[c] = sums.get(c, np.zeros(dim, np.int64)) + sign * points[held].sum(axis=0)
-        columns = [pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())]
-        lists = pa.array(list(sums.values()), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*columns, lists], ["cluster", "n", "sums"])
+                    held = points[clusters == c]
+                    total = sign * np.append(len(held), held.sum(axis=0))
+                    sums[c] = sums.get(c, np.zeros(dim + 1, np.int64)) + total
+        for c, total in sums.items():
+            columns = [pa.array([c] * (dim + 1), pa.int32()), pa.array(range(dim + 1), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(total)], ["cluster", "d", "x"])
 
     return of
 
@@ -262,17 +267,10 @@ def assigned(file: DataFrame, state: DataFrame | None, cells: Cells, centroids:
 
 
 def moved_sums(file: DataFrame, state: DataFrame, dim: int) -> DataFrame:
-    """What the vectors that changed their cluster add to counts and sums."""
+    """``cluster, d, x``: what vectors that changed their cluster add to count and sums."""
     moved = state.filter(~F.col("cluster").eqNullSafe(F.col("old")))
     points = moved.join(file.select("row", "point"), "row").select("point", "cluster", "old")
-    return (
-        points.mapInArrow(_sums(dim), SUMS)
-        .groupBy("cluster")
-        .agg(
-            F.sum("n").alias("n"),
-            F.array(*(F.sum(F.get("sums", F.lit(d))) for d in range(dim))).alias("sums"),
-        )
-    )
+    return points.mapInArrow(_sums(dim), SUMS).groupBy("cluster", "d").agg(F.sum("x").alias("x"))
 
 
 def clustered(
@@ -311,19 +309,18 @@ def clustered(
         )
     centroids = first_centroids(points, k, seed)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    file = VectorFile(spark, dim, fitted_cells(points, dim, bits), max(partitions, -(-count // BUCKET_ROWS)))
+    file = VectorFile(spark, dim, fitted_cells(points, bits), max(partitions, -(-count // BUCKET_ROWS)))
     try:
         cells = file.fill(points)
-        state, sizes, sums = None, [0] * len(centroids), [[0] * dim] * len(centroids)
+        # sizes in the first column
+        state, sums = None, np.zeros((len(centroids), dim + 1), np.int64)
         for number in range(rounds):
             state = file.save(assigned(cells, state, file.cells, centroids), f"round_{number}")
             file.drop(keep=1)
             for row in moved_sums(cells, state, dim).collect():
-                sizes[row.cluster] += row.n
-                sums[row.cluster] = [a + b for a, b in zip(sums[row.cluster], row.sums)]
-            for c, size in enumerate(sizes):
-                if size:
-                    centroids[c] = [s // size for s in sums[c]]
+                sums[row.cluster, row.d] += row.x
+            filled = sums[:, 0] > 0
+            centroids[filled] = sums[filled, 1:] // sums[filled, :1]
         last = file.save(assigned(cells, state, file.cells, centroids), "last")
         measured = written(
             last.join(cells.select("row", "vec_id", "point"), "row").select(
