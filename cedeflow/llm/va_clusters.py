@@ -22,7 +22,7 @@ LIMIT = 1 << 27
 BUCKET_ROWS = 250_000
 #: Vectors whose intervals are summed at once.
 SLICE = 4096
-SUMS = "cluster int, d int, x long"
+SUMS = "cluster int, sums array<long>"
 
 
 def usable(vector: Column, dim: int) -> Column:
@@ -119,8 +119,8 @@ def first_centroids(points: DataFrame, k: int, seed: int) -> np.ndarray:
 class VectorFile:
     """A table ``row, vec_id, cells, point`` in buckets by ``row``.
 
-    Scans that need the cells alone read that column; what joins it by ``row``
-    is in the same buckets and is not shuffled. Assignments are tables
+    Scans that need the cells alone read that column. Full vectors stay in their
+    buckets; row numbers and candidates move to them. Assignments are tables
     ``row, old, cluster`` in these buckets.
     """
 
@@ -229,7 +229,7 @@ def distance_to(centroids: np.ndarray):
 
 
 def _sums(dim: int):
-    """A task's counts, at ``d = 0``, and sums by cluster, each with its sign."""
+    """A task's counts, which come first, and sums by cluster, each with its sign."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -241,9 +241,8 @@ def _sums(dim: int):
                     held = points[clusters == c]
                     total = sign * np.append(len(held), held.sum(axis=0))
                     sums[c] = sums.get(c, np.zeros(dim + 1, np.int64)) + total
-        for c, total in sums.items():
-            columns = [pa.array([c] * (dim + 1), pa.int32()), pa.array(range(dim + 1), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(total)], ["cluster", "d", "x"])
+        totals = pa.array(list(sums.values()), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), totals], ["cluster", "sums"])
 
     return of
 
@@ -267,10 +266,12 @@ def assigned(file: DataFrame, state: DataFrame | None, cells: Cells, centroids:
 
 
 def moved_sums(file: DataFrame, state: DataFrame, dim: int) -> DataFrame:
-    """``cluster, d, x``: what vectors that changed their cluster add to count and sums."""
+    """``cluster, sums``: what vectors that changed their cluster add to count and sums."""
     moved = state.filter(~F.col("cluster").eqNullSafe(F.col("old")))
     points = moved.join(file.select("row", "point"), "row").select("point", "cluster", "old")
-    return points.mapInArrow(_sums(dim), SUMS).groupBy("cluster", "d").agg(F.sum("x").alias("x"))
+    # a row for each cluster and task, summed place by place
+    places = F.array(*(F.sum(F.get("sums", F.lit(at))) for at in range(dim + 1)))
+    return points.mapInArrow(_sums(dim), SUMS).groupBy("cluster").agg(places.alias("sums"))
 
 
 def clustered(
@@ -318,7 +319,7 @@ def clustered(
             state = file.save(assigned(cells, state, file.cells, centroids), f"round_{number}")
             file.drop(keep=1)
             for row in moved_sums(cells, state, dim).collect():
-                sums[row.cluster, row.d] += row.x
+                sums[row.cluster] += row.sums
             filled = sums[:, 0] > 0
             centroids[filled] = sums[filled, 1:] // sums[filled, :1]
         last = file.save(assigned(cells, state, file.cells, centroids), "last")
