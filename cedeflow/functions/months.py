@@ -75,6 +75,16 @@ def following_number(number: Column) -> Column:
     return F.when(number % 100 == 12, number + 89).otherwise(number + 1)
 
 
+def month_index(number: Column) -> Column:
+    """Months since year zero, so that a month and the next differ by one."""
+    return F.floor(number / 100).cast("int") * 12 + number % 100 - 1
+
+
+def month_at(index: Column) -> Column:
+    """The reverse: the number of the month with that index."""
+    return F.floor(index / 12).cast("int") * 100 + index % 12 + 1
+
+
 def previous_month_of(month: Column) -> Column:
     number = month_number(month)
     return month_text(F.when(number % 100 == 1, number - 89).otherwise(number - 1))

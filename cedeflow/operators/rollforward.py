@@ -6,10 +6,11 @@ purchase_price, interest_earned, fund_value, stat_reserve), ``policies``
 
 The report covers the given months, or without any every calendar month from
 the first snapshot to the last, in a single pass: the snapshot is shuffled once
-by policy, each of its rows then stands for the end of its own month and for
-the beginning of the next, and a window over policy and month brings the two
-and the month's movements together.  The policy master joins on the same
-partitioning.
+by policy and sorted by month.  A snapshot row is the end of its own month and
+the beginning of the next, and one window, which looks from each row at its own
+month and at exactly the next one, finds what it has there.  No row is doubled
+for that.  Movements and the policy master join on the same partitioning; from
+tables that are bucketed by policy nothing is shuffled at all.
 
 A policy has one snapshot row per month, which bounds what one policy can
 bring into a task; movements, which have no such bound, are summed per policy
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from cedeflow import fixed_values as fixed
 from cedeflow.functions.factors import quota_share
 from cedeflow.functions.months import (
-    following_number,
     in_months,
+    month_at,
+    month_index,
     month_list,
     month_number,
     month_text,
@@ -38,8 +40,8 @@ from cedeflow.operators.movements import amounts_by_kind
 
 POLICY = "policy_number"
 MONTH = "set_month"
-# What a row is to the month it is placed in.
-BEGINNING, ENDING, MOVED = 0, 1, 2
+# What a snapshot row is to the month it is reported for.
+BEGINNING, ENDING = 0, 1
 MOVEMENT_COLUMNS = tuple(fixed.ROLLFORWARD_MOVEMENTS.values())
 COLUMNS = (
     MONTH,
@@ -63,71 +65,69 @@ def _snapshot_values(snapshot: DataFrame, months: Sequence[str] | None) -> DataF
     if months is not None:
         snapshot = in_months(snapshot, sorted({*months, *map(previous_month, months)}))
     share = quota_share(F.col("reins_flag"))
-    return snapshot.filter(F.col(POLICY).isNotNull()).select(
-        POLICY,
-        MONTH,
+    held = F.struct(
         (F.col("purchase_price") * share).alias("purchase"),
         (F.col("interest_earned") * share).alias("interest"),
         F.col("fund_value").alias("fund"),
         F.col("stat_reserve").alias("reserve"),
         share.alias("share"),
         "val_code",
-        F.lit(False).alias("is_movement"),
+    )
+    return snapshot.filter(F.col(POLICY).isNotNull()).select(
+        POLICY, month_index(month_number(F.col(MONTH))).alias("at"), held.alias("held")
     )
 
 
-def _placed(
-    snapshot: DataFrame, movements: DataFrame, months: Sequence[str] | None
-) -> DataFrame:
-    """Snapshot values and movements by report month, partitioned by policy."""
-    moved = (
-        amounts_by_kind(in_months(movements, months), fixed.ROLLFORWARD_MOVEMENTS, [POLICY, MONTH])
-        .filter(F.col(POLICY).isNotNull())
-        .withColumn("is_movement", F.lit(True))
-    )
-    month = month_number(F.col(MONTH))
-    places = F.when(
-        F.col("is_movement"),
-        F.array(F.struct(month.alias("report_month"), F.lit(MOVED).alias("role"))),
-    ).otherwise(
-        F.array(
-            F.struct(month.alias("report_month"), F.lit(ENDING).alias("role")),
-            F.struct(following_number(month).alias("report_month"), F.lit(BEGINNING).alias("role")),
-        )
-    )
-    rows = (
-        _snapshot_values(snapshot, months)
-        .unionByName(moved, allowMissingColumns=True)
-        .repartition(POLICY)
-        .select("*", F.inline(places))
-        .drop(MONTH, "is_movement")
-    )
-    if months is not None:
-        return rows.filter(F.col("report_month").isin([int(m) for m in months]))
-    last = snapshot.agg(F.max(month)).scalar()
-    return rows.filter((F.col("role") != BEGINNING) | (F.col("report_month") <= last))
+def _moved_by_policy(movements: DataFrame, months: Sequence[str] | None) -> DataFrame:
+    """(policy_number, moved): the summed movements of each month, by its index."""
+    by_month = amounts_by_kind(
+        in_months(movements, months), fixed.ROLLFORWARD_MOVEMENTS, [POLICY, MONTH]
+    ).filter(F.col(POLICY).isNotNull() & F.col(MONTH).isNotNull())
+    at = month_index(month_number(F.col(MONTH)))
+    entry = F.struct(at.alias("at"), F.struct(*MOVEMENT_COLUMNS).alias("sums"))
+    return by_month.groupBy(POLICY).agg(F.map_from_entries(F.collect_list(entry)).alias("moved"))
 
 
-def _met(placed: DataFrame) -> DataFrame:
-    """Beginning and ending rows with the month's ending values and movements."""
-    same_month = Window.partitionBy(POLICY, "report_month")
-    is_ending = F.col("role") == ENDING
-    return placed.withColumns(
-        {
-            "endings": F.count(F.when(is_ending, 1)).over(same_month),
-            **{
-                f"end_{name}": F.max(F.when(is_ending, F.col(name))).over(same_month)
-                for name in ("purchase", "interest", "fund", "reserve", "val_code")
-            },
-            **{name: F.max(name).over(same_month) for name in MOVEMENT_COLUMNS},
-        }
-    ).filter(F.col("role") != MOVED)
+def _met(snapshot: DataFrame, movements: DataFrame, months: Sequence[str] | None) -> DataFrame:
+    """Snapshot rows with what their policy has in their own and the next month.
+
+    ``rows_now`` and ``moved_now`` are of the row's month, ``rows_next``,
+    ``held_next`` and ``moved_next`` of the month after, and of no later one.
+    """
+    at = F.col("at")
+    by_month = Window.partitionBy(POLICY).orderBy("at")
+    now, following = by_month.rangeBetween(0, 0), by_month.rangeBetween(1, 1)
+    return (
+        _snapshot_values(snapshot, months)
+        .withColumns(
+            {
+                "rows_now": F.count(F.lit(1)).over(now),
+                "rows_next": F.count(F.lit(1)).over(following),
+                "held_next": F.first("held").over(following),
+            }
+        )
+        .join(_moved_by_policy(movements, months), POLICY, "left")
+        .withColumns(
+            {
+                "moved_now": F.try_element_at("moved", at),
+                "moved_next": F.try_element_at("moved", at + 1),
+            }
+        )
+        .drop("moved")
+    )
 
 
-def _end(name: str) -> Column:
-    """An ending value; more than one ending row for the policy is an error."""
-    error = F.raise_error(F.lit("a policy has more than one snapshot row in a month"))
-    return F.when(F.col("endings") > 1, error).otherwise(F.col(f"end_{name}"))
+def _reported(
+    at: Column, snapshot: DataFrame, months: Sequence[str] | None, last: str | Column | None
+) -> Column:
+    """Whether the month of that index is in the report."""
+    if months is not None:
+        return month_at(at).isin([int(m) for m in months])
+    if last is None:
+        last = snapshot.agg(F.max(month_number(F.col(MONTH)))).scalar()
+    elif isinstance(last, str):
+        last = F.lit(last)
+    return month_at(at) <= last.cast("int")
 
 
 def _or_zero(amount: Column) -> Column:
@@ -139,37 +139,56 @@ def _report(
     policies: DataFrame,
     movements: DataFrame,
     months: str | Sequence[str] | None,
+    last: str | Column | None,
     roles: Sequence[int],
 ) -> DataFrame:
-    issued_in_time = not_before(F.col("date_issued"), F.col("report_month"))
+    months = month_list(months)
+    at = F.col("at")
+    wanted = {
+        BEGINNING: _reported(at + 1, snapshot, months, last),
+        ENDING: not_before(F.col("date_issued"), month_at(at)),
+    }
+    if months is not None:
+        wanted[ENDING] = wanted[ENDING] & _reported(at, snapshot, months, last)
+    taken = F.array_compact(F.array(*(F.when(wanted[role], F.lit(role)) for role in roles)))
     rows = (
-        _met(_placed(snapshot, movements, month_list(months)))
-        .filter(F.col("role").isin(list(roles)))
+        _met(snapshot, movements, months)
         .join(policies.select(POLICY, "date_issued"), POLICY)
-        .filter((F.col("role") == BEGINNING) | issued_in_time)
+        .withColumn("role", F.explode(taken))
     )
     is_beginning = F.col("role") == BEGINNING
-    share = F.col("share")
+    share = F.col("held.share")
+    endings = F.when(is_beginning, F.col("rows_next")).otherwise(F.col("rows_now"))
+    two = F.raise_error(F.lit("a policy has more than one snapshot row in a month"))
+
+    def end(name: str) -> Column:
+        """An ending value; more than one ending row for the policy is an error."""
+        value = F.when(is_beginning, F.col(f"held_next.{name}")).otherwise(F.col(f"held.{name}"))
+        return F.when(endings > 1, two).otherwise(value)
+
+    def moved(name: str) -> Column:
+        amount = F.when(is_beginning, F.col(f"moved_next.{name}")).otherwise(F.col(f"moved_now.{name}"))
+        return _or_zero(amount * share)
 
     def at_beginning(amount: Column) -> Column:
         return F.when(is_beginning, _or_zero(amount)).otherwise(F.lit(0))
 
     def gained(name: str) -> Column:
-        gain = F.when(is_beginning, _end(name) - F.col(name)).otherwise(F.col(name))
-        return _or_zero(gain)
+        before = F.col(f"held.{name}")
+        return _or_zero(F.when(is_beginning, end(name) - before).otherwise(before))
 
     columns = {
-        MONTH: month_text(F.col("report_month")),
-        "beginning_fund_value": at_beginning(F.col("fund") * share),
+        MONTH: month_text(month_at(F.when(is_beginning, at + 1).otherwise(at))),
+        "beginning_fund_value": at_beginning(F.col("held.fund") * share),
         "premium": gained("purchase"),
         "interest_earned": gained("interest"),
-        **{name: _or_zero(F.col(name) * share) for name in MOVEMENT_COLUMNS},
-        "end_fund_value": _or_zero(_end("fund") * share),
+        **{name: moved(name) for name in MOVEMENT_COLUMNS},
+        "end_fund_value": _or_zero(end("fund") * share),
         "qs": share,
-        "beginning_reserve_stat": at_beginning(F.col("reserve") * share),
-        "end_reserve_stat": _or_zero(_end("reserve") * share),
+        "beginning_reserve_stat": at_beginning(F.col("held.reserve") * share),
+        "end_reserve_stat": _or_zero(end("reserve") * share),
         "new_policy_check": F.when(is_beginning, "0").otherwise("1"),
-        "val_code": _end("val_code"),
+        "val_code": end("val_code"),
     }
     return rows.select(*[columns.get(name, F.col(name)).alias(name) for name in COLUMNS])
 
@@ -179,13 +198,14 @@ def rollforward_existing(
     policies: DataFrame,
     movements: DataFrame,
     months: str | Sequence[str] | None = None,
+    last: str | Column | None = None,
 ) -> DataFrame:
     """Policies of last month's snapshot, with what became of them.
 
     Beginning and end value, end reserve and movements are ceded at the share
     of last month's flag; premium and interest compare each month's own share.
     """
-    return _report(snapshot, policies, movements, months, [BEGINNING])
+    return _report(snapshot, policies, movements, months, last, [BEGINNING])
 
 
 def rollforward_new(
@@ -193,9 +213,10 @@ def rollforward_new(
     policies: DataFrame,
     movements: DataFrame,
     months: str | Sequence[str] | None = None,
+    last: str | Column | None = None,
 ) -> DataFrame:
     """Policies of the month's snapshot issued on or after its first day."""
-    return _report(snapshot, policies, movements, months, [ENDING])
+    return _report(snapshot, policies, movements, months, last, [ENDING])
 
 
 def rollforward(
@@ -203,9 +224,14 @@ def rollforward(
     policies: DataFrame,
     movements: DataFrame,
     months: str | Sequence[str] | None = None,
+    last: str | Column | None = None,
 ) -> DataFrame:
-    """Existing and new policies together; a policy can be in both parts."""
-    return _report(snapshot, policies, movements, months, [BEGINNING, ENDING])
+    """Existing and new policies together; a policy can be in both parts.
+
+    ``last`` is the last month of the snapshot, for a run of all months, where
+    the caller knows it; else the snapshot's months are read once more.
+    """
+    return _report(snapshot, policies, movements, months, last, [BEGINNING, ENDING])
 
 
 def with_checks(report: DataFrame) -> DataFrame:

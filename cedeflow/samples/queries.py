@@ -76,8 +76,12 @@ def _rollforward_inputs(v: SampleViews) -> tuple[DataFrame, DataFrame, DataFrame
     return v.snapshot(), v.policies(), v.movements()
 
 
+def _all_months(v: SampleViews, report: Callable[..., DataFrame]) -> DataFrame:
+    return report(*_rollforward_inputs(v), last=v.last_month())
+
+
 def _checked(v: SampleViews) -> DataFrame:
-    return with_checks(rollforward(*_rollforward_inputs(v)))
+    return with_checks(_all_months(v, rollforward))
 
 
 def _group_inputs(v: SampleViews) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -188,8 +192,8 @@ def _rates(v: SampleViews) -> DataFrame:
 
 REPORTS: dict[str, Callable[[SampleViews], DataFrame]] = {
     # roll-forward
-    "rollforward_existing": lambda v: rollforward_existing(*_rollforward_inputs(v)),
-    "rollforward_new": lambda v: rollforward_new(*_rollforward_inputs(v)),
+    "rollforward_existing": lambda v: _all_months(v, rollforward_existing),
+    "rollforward_new": lambda v: _all_months(v, rollforward_new),
     "rollforward_checked": _checked,
     "rollforward_difference": lambda v: total_difference(_checked(v)),
     "rollforward_one_month": lambda v: with_checks(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cedeflow import fixed_values as fixed
 from cedeflow.functions.months import month_of
 
-MONEY = "decimal(12,2)"
+MONEY = "decimal(8,2)"
 # Every first word of a part's type, and one that no part has.
 PLAN_GROUPS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "ABSENT")
 WITHDRAWAL_BY_LINE = dict(enumerate(fixed.WITHDRAWAL_TYPES[:7], start=1))
@@ -104,6 +104,10 @@ class SampleViews:
             _choose(F.col("open"), {1: fixed.ACTIVE}, "Lapsed").alias("current_status"),
         )
 
+    def last_month(self) -> Column:
+        """The snapshot's last month: every line's part is in the part table."""
+        return self.lines().agg(F.max("set_month")).scalar()
+
     def parts(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_partkey").alias("l_partkey"),

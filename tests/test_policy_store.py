@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import uuid
+from datetime import date
+
+import pytest
+
+from cedeflow.operators.movements import tag_movements
+from cedeflow.operators.rollforward import rollforward, with_checks
+from cedeflow.sources.policy_store import PolicyStore
+from helpers import POLICY, SNAPSHOT, WITHDRAWAL, rows
+
+MONTHS = ("202311", "202312", "202401")
+
+
+@pytest.fixture
+def store(spark):
+    made = PolicyStore(spark, f"store_{uuid.uuid4().hex}", 8)
+    yield made
+    for kind in ("snapshot", "policies", "movements"):
+        made.drop(kind)
+
+
+@pytest.fixture
+def block(frame):
+    snapshot = [
+        (f"p{n}", month, "pl", "P" if n % 2 else "AF", "v", 10.0 + n, 1.0 * at, 100.0 + at, 90.0)
+        for n in range(60)
+        for at, month in enumerate(MONTHS)
+        if (n + at) % 4
+    ]
+    policies = [(f"p{n}", date(2023, 12, 5) if n % 3 else date(2020, 1, 1), "202312") for n in range(50)]
+    moved = [(f"p{n}", month, 5.0 + n, "P") for n in range(0, 60, 2) for month in MONTHS]
+    return (
+        frame(SNAPSHOT, *snapshot),
+        frame(POLICY, *policies),
+        tag_movements({"rmd": frame(WITHDRAWAL, *moved), "aiw": frame(WITHDRAWAL, *moved[::3])}),
+    )
+
+
+def _filled(store, block):
+    snapshot, policies, movements = block
+    for month in MONTHS:
+        store.replace_months("snapshot", snapshot.filter(f"set_month = '{month}'"))
+    store.replace_months("movements", movements)
+    store.replace_all("policies", policies)
+    return store.table("snapshot"), store.table("policies"), store.table("movements")
+
+
+def _final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+
+
+@pytest.mark.parametrize("months", [None, "202401", ["202312", "202401"]])
+def test_rollforward_from_the_store_shuffles_nothing(spark, store, block, months):
+    stored = _filled(store, block)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = with_checks(rollforward(*stored, months, store.last_month()))
+        plan = _final_plan(report)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert plan.count("Scan parquet") == 3
+    assert rows(report) == rows(with_checks(rollforward(*block, months)))
+
+
+def test_a_run_of_one_month_reads_two_months(store, block):
+    stored = _filled(store, block)
+    plan = _final_plan(rollforward(*stored, "202401", store.last_month()))
+    assert "set_month#" in plan and "IN (202312,202401)" in plan.replace(", ", ",")
+
+
+def test_a_month_written_again_takes_the_place_of_the_first(store, block, frame):
+    snapshot = block[0]
+    _filled(store, block)
+    again = frame(SNAPSHOT, ("new", "202401", "pl", "P", "v", 1.0, 1.0, 2.0, 1.0))
+    store.replace_months("snapshot", again)
+    store.replace_months("snapshot", again.select(*reversed(again.columns)))
+    kept = snapshot.filter("set_month <> '202401'").unionByName(again)
+    assert rows(store.table("snapshot").select(*kept.columns)) == rows(kept)
+    assert store.months("snapshot") == list(MONTHS)
+    assert store.last_month() == "202401"
+
+
+def test_rows_without_a_month_are_left_out_and_odd_months_are_an_error(store, frame):
+    store.replace_months("snapshot", frame(SNAPSHOT, ("a", None, "pl", "P", "v", 1.0, 1.0, 2.0, 1.0)))
+    assert store.table("snapshot").count() == 0 and store.last_month() is None
+    store.replace_months("snapshot", frame(SNAPSHOT, ("a", "2024", "pl", "P", "v", 1.0, 1.0, 2.0, 1.0)))
+    with pytest.raises(ValueError, match="not a YYYYMM month"):
+        store.months("snapshot")
+
+
+def test_other_months_are_not_lost_under_static_overwrite(spark, store, block):
+    _filled(store, block)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        with pytest.raises(ValueError, match="dynamic"):
+            store.replace_months("snapshot", block[0])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    assert store.months("snapshot") == list(MONTHS)
