@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cedeflow.functions.months import (
-    following_number,
     in_months,
+    month_at,
+    month_index,
     month_number,
     month_text,
     previous_month,
@@ -29,44 +30,60 @@ def count_new_policies(
     new, a NULL policy there leaves none, and a NULL policy is never new to a
     month that has one before it.
 
-    The snapshot is read once and counted per policy and month; the counts are
-    then shuffled once more, by policy alone.  Each stands for its own month and
-    as listed for the next, and a window over policy and month finds the listed
-    ones.
+    Rows meet their policy's months in one shuffle, by policy, or none if the
+    snapshot is bucketed by it: a window that looks at exactly the month before
+    tells who was absent there. All else follows from the counts of a month and
+    ``by``, which are as few as the report's cells. Rows without a policy need
+    no window; they are read by themselves, where files have any.
     """
     if months is not None:
         snapshot = in_months(snapshot, sorted({*months, *map(previous_month, months)}))
-    counted = snapshot.groupBy(POLICY, MONTH, *by).agg(F.count("*").alias("n"))
-    month = month_number(F.col(MONTH))
-    following = following_number(month)
-
-    # A row per month.  No filter that the join would add (hence its NULL-safe
-    # comparison) reaches the scan, so the counts above are computed only once.
-    facts = counted.groupBy(following.alias("listed_for")).agg(
-        F.coalesce(F.sum(F.when(F.col(POLICY).isNull(), F.col("n"))) > 0, F.lit(False)).alias(
-            "list_has_null"
+    rows = snapshot.select(POLICY, *by, month_index(month_number(F.col(MONTH))).alias("at"))
+    rows = rows.filter(F.col("at").isNotNull())
+    month_before = Window.partitionBy(POLICY).orderBy("at").rangeBetween(-1, -1)
+    absent = F.count(F.lit(1)).over(month_before) == 0
+    known = rows.filter(F.col(POLICY).isNotNull()).withColumn("absent", absent)
+    nameless = rows.filter(F.col(POLICY).isNull()).withColumn("absent", F.lit(False))
+    cells = (
+        known.unionByName(nameless)
+        .groupBy("at", *by)
+        .agg(
+            F.count(F.lit(1)).alias("n_all"),
+            F.count_if("absent").alias("n_absent"),
+            F.count_if(F.col(POLICY).isNull()).alias("n_nameless"),
         )
     )
 
+    # A cell stands for its own month and, as the list, for the next.
+    own = F.struct(*by, "n_all", "n_absent")
+    nothing, none = F.lit(None).cast(cells.select(own.alias("own")).schema["own"].dataType), F.lit(0).cast("long")
     places = F.array(
-        F.struct(month.alias("report_month"), F.lit(False).alias("is_listing")),
-        F.struct(following.alias("report_month"), F.lit(True).alias("is_listing")),
+        F.struct(F.col("at").alias("report"), own.alias("own"), none.alias("listed"), none.alias("nameless")),
+        F.struct(
+            (F.col("at") + 1).alias("report"),
+            nothing.alias("own"),
+            F.col("n_all").alias("listed"),
+            F.col("n_nameless").alias("nameless"),
+        ),
     )
-    same_month = Window.partitionBy(POLICY, "report_month")
-    current = (
-        counted.repartition(POLICY)
-        .select(POLICY, *by, "n", F.inline(places))
-        .withColumn("listed", F.max("is_listing").over(same_month))
-        .filter(~F.col("is_listing"))
+    met = (
+        cells.select(F.inline(places))
+        .groupBy("report")
+        .agg(
+            F.collect_list("own").alias("cells"),
+            F.sum("listed").alias("listed"),
+            F.sum("nameless").alias("nameless"),
+        )
     )
     if months is not None:
-        current = current.filter(F.col("report_month").isin([int(m) for m in months]))
-    has_null = F.col("list_has_null")
-    is_new = has_null.isNull() | (F.col(POLICY).isNotNull() & ~has_null & ~F.col("listed"))
-    same_list = F.col("report_month").eqNullSafe(F.col("listed_for"))
+        met = met.filter(month_at(F.col("report")).isin([int(m) for m in months]))
+    n = (
+        F.when(F.col("listed") == 0, F.col("n_all"))
+        .when(F.col("nameless") > 0, 0)
+        .otherwise(F.col("n_absent"))
+    )
     return (
-        current.join(facts, same_list, "left")
-        .filter(is_new)
-        .groupBy(month_text(F.col("report_month")).alias(MONTH), *by)
-        .agg(F.sum("n").alias("n"))
+        met.select("report", "listed", "nameless", F.inline("cells"))
+        .select(month_text(month_at(F.col("report"))).alias(MONTH), *by, n.alias("n"))
+        .filter("n > 0")
     )

@@ -111,3 +111,13 @@ def test_group_outside_the_terms_is_left_out(frame):
     assert {r.plangroup for r in withdrawal_cells(moved, TERMS_95).collect()} == {
         TERMS_95.plan_groups[0]
     }
+
+
+def test_new_policies_move_once_by_policy(spark, frame):
+    snapshot = frame("policy_number string, set_month string, g string", ("a", "202401", "x"))
+    plan = plan_of(count_new_policies(snapshot, None, ["g"]))
+    by_policy = [line for line in plan.splitlines() if "Exchange hashpartitioning(policy_number" in line]
+    assert len(by_policy) == 1
+    assert plan.count("Join") == 0
+    # the policy, the cells, the months
+    assert plan.count("Exchange") == 3
