@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cedeflow import fixed_values as fixed
 from cedeflow.functions.factors import quota_share
+from cedeflow.operators.cohorts import fitting
 
 
 def net_av_flat(
@@ -52,7 +54,7 @@ def net_av_flag(
 def net_av_dedup(
     snapshot: DataFrame,
     policies: DataFrame,
-    prefix: str = "%",
+    prefix: str | Sequence[str] = "%",
     since: str = fixed.ACCOUNT_VALUE_SINCE,
     policy: str = "policynumber",
     value: str = "totalpolicyav",
@@ -62,13 +64,19 @@ def net_av_dedup(
 
     Both sides are made distinct before the join: rows that differ only in
     other columns then cannot multiply, and the joined rows are distinct again.
+    Several prefixes are reported side by side, as ``cohorts_monthly_policy``
+    does, from one pass over each table.
     """
-    chosen = F.col(policy).like(prefix) & (F.col("set_month") >= since)
+    several = not isinstance(prefix, str)
+    prefixes = list(dict.fromkeys(prefix)) if several else [prefix]
+    chosen = (F.size(fitting(F.col(policy), prefixes)) > 0) & (F.col("set_month") >= since)
     keys = [policy, "set_month"]
     values = snapshot.filter(chosen).select(*keys, value, share).distinct()
     plans = policies.filter(chosen).select(*keys, "plan").distinct()
-    return (
+    by_prefix = (
         values.join(plans, keys)
-        .groupBy("set_month", "plan")
+        .withColumn("prefix", F.explode(fitting(F.col(policy), prefixes)))
+        .groupBy("set_month", "prefix", "plan")
         .agg(F.sum(F.col(value) * F.col(share)).alias("net_av"))
     )
+    return by_prefix if several else by_prefix.drop("prefix")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cedeflow import fixed_values as fixed
-from cedeflow.functions.months import month_number, month_text, year_of
+from cedeflow.functions.months import year_of
 from cedeflow.operators.absence import not_in_as_of
 
 MONTH = "set_month"
@@ -115,10 +115,15 @@ def cohorts_policy(
     return _in_force_counts(months, ["report_year"])
 
 
+def fitting(policy: Column, prefixes: Sequence[str]) -> Column:
+    """The prefixes, as ``LIKE`` patterns, that a policy number fits: each of them."""
+    return F.array_compact(F.array(*(F.when(policy.like(p), F.lit(p)) for p in prefixes)))
+
+
 def cohorts_monthly_policy(
     snapshot: DataFrame,
     policies: DataFrame,
-    prefix: str = "%",
+    prefix: str | Sequence[str] = "%",
     policy: str = "policynumber",
     strategy: str = "creditstrategy",
     value: str = "totalpolicyav",
@@ -128,29 +133,38 @@ def cohorts_monthly_policy(
     The master gives the report year of each month and strategy; a policy is
     new in its first master month, under its smallest report year.  The report
     year is an integer.
+
+    Several prefixes are reported side by side, told apart by the column
+    ``prefix``: both tables are read and joined once, and a policy counts for
+    every prefix that it fits.
     """
-    chosen = F.col(policy).like(prefix)
+    several = not isinstance(prefix, str)
+    prefixes = list(dict.fromkeys(prefix)) if several else [prefix]
+    fits = F.size(fitting(F.col(policy), prefixes)) > 0
     keys = [policy, MONTH, strategy]
+    by = ["prefix", "report_year"]
     year = year_of(F.col("reported_date"))
-    master = policies.filter(chosen)
-    live = snapshot.filter(chosen & (F.col(value) > 0)).select(*keys).distinct()
+    master = policies.filter(fits)
+    live = snapshot.filter(fits & (F.col(value) > 0)).select(*keys).distinct()
     years = master.select(*keys, year.alias("report_year")).distinct()
     in_force = (
         live.join(years, keys)
-        .groupBy(MONTH, "report_year")
-        .agg(F.count_distinct(policy).alias("ct_inforce"))
+        .select(policy, MONTH, "report_year")
+        .distinct()
+        .withColumn("prefix", F.explode(fitting(F.col(policy), prefixes)))
+        .groupBy(MONTH, *by)
+        .agg(F.count(F.lit(1)).alias("ct_inforce"))
         .withColumn("report_year", F.col("report_year").cast("int"))
     )
     new_issues = (
         master.groupBy(policy)
-        .agg(
-            F.min(month_number(F.col(MONTH))).alias("first_month"),
-            F.min(year.cast("int")).alias("report_year"),
-        )
-        .groupBy(month_text(F.col("first_month")).alias(MONTH), "report_year")
-        .agg(F.count("*").alias("new_issued_policies"))
+        .agg(F.min(MONTH).alias(MONTH), F.min(year.cast("int")).alias("report_year"))
+        .withColumn("prefix", F.explode(fitting(F.col(policy), prefixes)))
+        .groupBy(MONTH, *by)
+        .agg(F.count(F.lit(1)).alias("new_issued_policies"))
     )
-    return _with_new_issues(in_force, new_issues, ["report_year"])
+    both = _with_new_issues(in_force, new_issues, by)
+    return both if several else both.drop("prefix")
 
 
 def active_not_surrendered(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,12 +93,6 @@ def _treaty(v: SampleViews, months: str | None = None) -> DataFrame:
     )
 
 
-def _by_prefix(make: Callable[[str], DataFrame]) -> DataFrame:
-    """The report of each policy prefix, told apart by its prefix."""
-    parts = [make(p).withColumn("prefix", F.lit(p)) for p in fixed.POLICY_PREFIXES]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def _cohorts_plan_group(v: SampleViews) -> DataFrame:
     return cohorts.cohorts_single(v.snapshot(), value="eom_fund_value", by=["plangroup"])
 
@@ -227,8 +220,8 @@ REPORTS: dict[str, Callable[[SampleViews], DataFrame]] = {
     "treaty_premium_allowances": lambda v: treaty_reconciliation.premium_allowances(v.premium()),
     "treaty_claim_expenses": lambda v: treaty_reconciliation.claim_expenses(v.movements()),
     # cohorts
-    "cohorts_monthly_policy": lambda v: _by_prefix(
-        lambda p: cohorts.cohorts_monthly_policy(v.strategy_snapshot(), v.strategy_policies(), p)
+    "cohorts_monthly_policy": lambda v: cohorts.cohorts_monthly_policy(
+        v.strategy_snapshot(), v.strategy_policies(), fixed.POLICY_PREFIXES
     ),
     "cohorts_policy": lambda v: cohorts.cohorts_policy(v.snapshot(), v.policies()),
     "cohorts_plan_group": _cohorts_plan_group,
@@ -240,10 +233,8 @@ REPORTS: dict[str, Callable[[SampleViews], DataFrame]] = {
     "triangle_new": lambda v: _triangle(v, triangle_new),
     "triangle_in_force": lambda v: _triangle(v, triangle_in_force),
     # net account value
-    "net_av_dedup": lambda v: _by_prefix(
-        lambda p: account_value.net_av_dedup(
-            v.strategy_snapshot(), v.strategy_policies(), p, SINCE
-        )
+    "net_av_dedup": lambda v: account_value.net_av_dedup(
+        v.strategy_snapshot(), v.strategy_policies(), fixed.POLICY_PREFIXES, SINCE
     ),
     "net_av_flat": lambda v: account_value.net_av_flat(v.snapshot()),
     "net_av_flag": lambda v: account_value.net_av_flag(v.snapshot(), v.terms(), SINCE),

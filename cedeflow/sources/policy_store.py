@@ -75,5 +75,9 @@ class PolicyStore:
         months = self.months(kind)
         return months[-1] if months else None
 
+    def drop_month(self, kind: str, month: str) -> None:
+        table = self.table_name(kind)
+        self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{check_month(month)}')")
+
     def drop(self, kind: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(kind)}")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cedeflow.operators.cohorts import (
     active_not_surrendered,
     cohorts_migration,
@@ -135,6 +137,31 @@ def test_monthly_policy_master(frame):
         ("202402", 2024, 1, 0),
     ]
     assert rows(cohorts_monthly_policy(snapshot, policies, "T%")) == [("202401", 2024, 1, 1)]
+    # prefixes that overlap, one listed twice, one that nothing fits
+    several = cohorts_monthly_policy(snapshot, policies, ["D%", "T%", "%1", "D%", "X%"])
+    for prefix in ("D%", "T%", "%1", "X%"):
+        part = several.filter(F.col("prefix") == prefix).drop("prefix")
+        assert rows(part) == rows(cohorts_monthly_policy(snapshot, policies, prefix))
+
+
+def test_prefixes_are_matched_in_one_pass(frame):
+    snapshot = frame(
+        "policynumber string, set_month string, creditstrategy string, totalpolicyav double",
+        ("D1", "202401", "s", 5.0),
+    )
+    policies = frame(
+        "policynumber string, set_month string, creditstrategy string, reported_date string",
+        ("D1", "0009", "s", "202401"),
+    )
+    one, four = (
+        plan_of(cohorts_monthly_policy(snapshot, policies, prefixes))
+        for prefixes in (["D%"], ["D%", "T%", "X%", "%"])
+    )
+    assert four.count("Scan") == one.count("Scan") and four.count("Exchange") == one.count("Exchange")
+    # a month of any text, also one with leading zeros
+    assert rows(cohorts_monthly_policy(snapshot.withColumn("set_month", F.lit("0009")), policies)) == [
+        ("0009", 2024, 1, 1)
+    ]
 
 
 NEW = "mpolicy string, set_month string, reported_date string, current_status string"

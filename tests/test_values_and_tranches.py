@@ -63,6 +63,10 @@ def test_deduplicated_value(frame):
     )
     assert rows(net_av_dedup(snapshot, policies, "D%")) == [("202401", "pl", pytest.approx(90.0))]
     assert rows(net_av_dedup(snapshot, policies, "D%", since="202301"))[0][:2] == ("202312", "pl")
+    several = net_av_dedup(snapshot, policies, ["D%", "%", "X%"])
+    for prefix in ("D%", "%", "X%"):
+        part = several.filter(several.prefix == prefix).drop("prefix")
+        assert rows(part) == rows(net_av_dedup(snapshot, policies, prefix))
 
 
 LIFE = (
