@@ -32,6 +32,7 @@ from cedeflow.operators.group_reconciliation import TERMS_50, TERMS_95, group_re
 from cedeflow.operators.rollforward import rollforward, with_checks
 from cedeflow.operators.tranches import life_report
 from cedeflow.operators.treaty_reconciliation import treaty_reconciliation
+from cedeflow.sinks.published import publish
 from cedeflow.sinks.reports import write_flat, write_monthly, write_sheets
 from cedeflow.sources.tables import Tables
 
@@ -106,17 +107,35 @@ def block_reports(block: str, tables: Tables) -> dict[str, DataFrame]:
     return reports
 
 
-def export_block(block: str, tables: Tables, path: str, file_format: str = "parquet") -> None:
-    """Writes a block's reports under ``path``, replacing earlier ones."""
+def export_block(
+    block: str, tables: Tables, path: str, file_format: str = "parquet"
+) -> dict[str, DataFrame]:
+    """Writes a block's reports under ``path``, replacing earlier ones.
+
+    Returns the sheets by their place there.
+    """
     if block == "life":
         report = life_block_report(tables)
         write_flat(report, f"{path}/life", ["set_month", "tranche_mapping"], file_format)
-        return
+        return {"life": report}
+    written = {}
     for report in _reports_of(block):
         value = report.account_value(tables) if report.account_value else None
-        write_sheets(
+        sheets = write_sheets(
             f"{path}/{report.name}", report.cohorts(tables), value, report.sort, file_format
         )
+        written |= {f"{report.name}/{name}": sheet for name, sheet in sheets.items()}
+    return written
+
+
+def publish_block(block: str, tables: Tables, path: str, file_format: str = "parquet") -> str:
+    """Writes a block's reports beside earlier ones, which readers get until all are there.
+
+    ``sinks.published.published`` reads a sheet, such as ``treaty/NB``.
+    """
+    return publish(
+        tables.spark, path, lambda folder: export_block(block, tables, folder, file_format), file_format
+    )
 
 
 def _reports_of(block: str) -> tuple[CohortReport, ...]:

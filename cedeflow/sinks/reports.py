@@ -47,11 +47,11 @@ def write_sheets(
     account_value: DataFrame | None = None,
     sort: Sequence[str] = ("set_month", "report_year"),
     file_format: str = "parquet",
-) -> None:
+) -> dict[str, DataFrame]:
     """The sheets Data, NB, IF and, if given, AV, a directory each under ``path``.
 
     The triangles are made from the written Data sheet, so the cohort counts
-    are computed once.
+    are computed once.  Returns the sheets by name.
     """
     spark = cohorts.sparkSession
     data = f"{path}/Data"
@@ -60,7 +60,10 @@ def write_sheets(
         spark.read.format(file_format).schema(cohorts.schema).option("header", "true").load(data)
     )
     months = cohort_months(written)
-    write_flat(triangle_new(written, months), f"{path}/NB", ["report_year"], file_format)
-    write_flat(triangle_in_force(written, months), f"{path}/IF", ["report_year"], file_format)
+    sheets = {"NB": triangle_new(written, months), "IF": triangle_in_force(written, months)}
+    for name, triangle in sheets.items():
+        write_flat(triangle, f"{path}/{name}", ["report_year"], file_format)
     if account_value is not None:
         write_flat(account_value, f"{path}/AV", ["set_month", "term"], file_format)
+        sheets["AV"] = account_value
+    return {"Data": written, **sheets}

@@ -4,9 +4,11 @@ import os
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from cedeflow import fixed_values as fixed
 from cedeflow.plans import blocks
+from cedeflow.sinks.published import current, published
 from cedeflow.sinks.reports import write_flat, write_monthly
 from cedeflow.sources.tables import Tables
 from helpers import POLICY, PREMIUM, SNAPSHOT, WITHDRAWAL, rows
@@ -95,6 +97,38 @@ def test_treaty_exports_by_month(treaty, spark, tmp_path):
     assert spark.read.parquet(path).count() == 32
 
 
+def test_a_block_is_published_whole_or_not_at_all(treaty, spark, tmp_path):
+    path = str(tmp_path / "published")
+    sheets = ["treaty/Data", "treaty/NB", "treaty/IF", "treaty/AV"]
+    assert current(spark, path) is None
+    with pytest.raises(KeyError, match="nothing is published"):
+        published(spark, path, "treaty/Data")
+    blocks.publish_block("treaty", treaty, path)
+    first = {name: rows(published(spark, path, name)) for name in sheets}
+    assert first["treaty/NB"] == [("2020", 1, 0), ("2024", 0, 1)]
+    with pytest.raises(KeyError, match="treaty/AV"):
+        published(spark, path, "treaty/XX")
+
+    # the next run has other numbers and is lost after three of its four sheets
+    more = treaty["snapshot"].unionByName(treaty["snapshot"].withColumn("policy_number", F.lit("b")))
+    treaty._read["snapshot"] = more.withColumn("fund_value", F.col("fund_value") + 1)
+    treaty._read["terms"] = treaty["terms"].withColumn("term", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        blocks.publish_block("treaty", treaty, path, "parquet")
+    runs = [name for name in os.listdir(path) if name.startswith("run_")]
+    begun = [name for name in runs if os.path.exists(f"{path}/{name}/treaty/IF/_SUCCESS")]
+    assert len(runs) == 2 and len(begun) == 2
+    assert {name: rows(published(spark, path, name)) for name in sheets} == first
+
+    # and the run after that takes their place
+    del treaty._read["terms"]
+    blocks.publish_block("treaty", treaty, path, "csv")
+    assert current(spark, path).number == 2
+    second = {name: rows(published(spark, path, name)) for name in sheets}
+    assert second["treaty/AV"] != first["treaty/AV"]
+    assert second["treaty/Data"] == rows(blocks.block_reports("treaty", treaty)["treaty"])
+
+
 def test_group_block(store, spark, tmp_path):
     tables = store(
         snapshot=(
