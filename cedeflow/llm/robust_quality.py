@@ -24,7 +24,10 @@ FLOORS = (30, 25, 30, 25)
 CORE = 0.75
 #: Share of clean normal rows beyond the cut-off.
 TAIL = 1e-12
+#: Rows that an estimate of a language, or language and source, needs.
 MIN_GROUP = 100
+#: The key of all rows; those of groups are JSON.
+WHOLE = "all"
 C_STEPS = 4
 #: Estimates of up to so many groups are broadcast; beyond it Spark chooses.
 BROADCAST_GROUPS = 5000
@@ -292,9 +295,10 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     further from the robust centre of its language and source than clean rows
     are. Estimates rest on all rows that pass the base limits. A language and
     source of under ``MIN_GROUP`` such rows uses the estimate of the language,
-    and one of a language with as few has no second verdict: ``distance2`` is
-    null and the row stays. A null language or source is a value of its own.
-    Null, empty and blank texts have no words and so fail. Equal rows get equal
+    and one of a language with as few that of all rows, however few those are.
+    So every row that passes the base limits is judged; ``distance2`` is null
+    for the others alone. A null language or source is a value of its own. Null,
+    empty and blank texts have no words and so fail. Equal rows get equal
     verdicts; other columns are not read; an empty table gives an empty one.
     """
     stats = written(base_statistics(docs).select("*", *_vector()))
@@ -302,16 +306,20 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     def key(*columns: str) -> Column:
         return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
-    keyed = stats.withColumns({"fine": key("lang", "source"), "coarse": key("lang")})
+    keyed = stats.withColumns({"fine": key("lang", "source"), "coarse": key("lang"), "whole": F.lit(WHOLE)})
     xs = [f"x{i}" for i in DIMS]
     vectors = keyed.filter(~F.col("base_failed")).select(
-        F.explode(F.array("fine", "coarse")).alias("key"), *xs
+        F.explode(F.array("fine", "coarse", "whole")).alias("key"), *xs
     )
     best, small = robust_estimates(vectors)
-    best = written(best.filter(F.col("n_rows") >= MIN_GROUP))
-    own = best.select(F.col("key").alias("fine"), F.lit(True).alias("own"))
-    chosen = keyed.join(small(own), "fine", "left").withColumn(
-        "key", F.when(F.col("own"), F.col("fine")).otherwise(F.col("coarse"))
+    best = written(best.filter((F.col("n_rows") >= MIN_GROUP) | (F.col("key") == WHOLE)))
+    chosen = keyed
+    for level in ("fine", "coarse"):
+        own = best.select(F.col("key").alias(level), F.lit(True).alias(f"has_{level}"))
+        chosen = chosen.join(small(own), level, "left")
+    chosen = chosen.withColumn(
+        "key",
+        F.when(F.col("has_fine"), F.col("fine")).when(F.col("has_coarse"), F.col("coarse")).otherwise(F.col("whole")),
     )
     judged = _with_distance(chosen.join(small(best), "key", "left"))
     distance = F.when(~F.col("base_failed"), F.col("d2"))

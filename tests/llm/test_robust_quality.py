@@ -43,6 +43,23 @@ def test_outliers_go_and_the_rest_stays(docs):
     assert all(got[i] for i, _ in rows) and not any(got[i] for i, _ in junk)
 
 
+def test_rows_of_a_rare_language_are_judged_too(frame):
+    rnd = random.Random(3)
+    vocabulary = ["".join(rnd.choices("etaoinshr", k=rnd.randint(2, 9))) for _ in range(900)]
+
+    def text(ending=""):
+        return " ".join(w + ending for w in rnd.choices(vocabulary, k=rnd.randint(30, 300)))
+
+    rows = [(i, text(), "en", "s") for i in range(300)] + [(400 + i, text(), "xx", "s") for i in range(70)]
+    junk = [(1000 + i, text("###"), "xx", "s") for i in range(10)]
+    alone = [(2000, text(), None, None), (2001, text("###"), None, None)]
+    table = frame("doc_id long, text string, lang string, source string", *rows, *junk, *alone)
+    got = {r.doc_id: r for r in quality_verdicts(table).collect()}
+    assert all(got[i].kept for i, *_ in rows) and not any(got[i].kept for i, *_ in junk)
+    assert got[2000].kept and not got[2001].kept
+    assert all((r.distance2 is None) == r.base_failed for r in got.values())
+
+
 def test_odd_rows(frame):
     schema = "doc_id long, text string, lang string, source string, d2 string"
     texts = [None, "", " \n\t", "a b c d e f g h i j", " x " * 12, "a b c d e " * 40,
@@ -52,5 +69,6 @@ def test_odd_rows(frame):
     assert len(got) == len(rows)
     for r in got:
         assert tuple(r)[1:7] == _brute(texts[r.doc_id])
-        assert r.kept == (not r.base_failed)  # too few rows for an estimate
+        # those that pass are equal, so at the centre of all rows
+        assert r.kept == (not r.base_failed) and r.distance2 == (None if r.base_failed else 0)
     assert quality_verdicts(frame(schema)).collect() == []
