@@ -84,8 +84,79 @@ COHORT_REPORTS: dict[str, tuple[CohortReport, ...]] = {
 }
 BLOCKS = (*COHORT_REPORTS, "life")
 
+_GROUP_COLUMNS = {
+    "snapshot": ("policy_number", "set_month", "plangroup", "term", "reported_date", "eom_fund_value")
+}
+#: The columns that a block's reports read, by table.
+NEEDED: dict[str, dict[str, Sequence[str]]] = {
+    "strategy": {
+        "snapshot": ("policynumber", "set_month", "creditstrategy", "totalpolicyav"),
+        "policies": ("policynumber", "set_month", "creditstrategy", "reported_date"),
+    },
+    "treaty": {
+        "snapshot": ("policy_number", "set_month", "plan", "reins_flag", "fund_value"),
+        "policies": ("policy_number", "reported_date"),
+        "terms": ("plan", "term"),
+    },
+    "group_95": _GROUP_COLUMNS,
+    "group_50": _GROUP_COLUMNS,
+    "migration": {
+        "new_system": ("mpolicy", "set_month", "reported_date", "current_status"),
+        "old_system": ("policy_number", "set_month", "reported_date", "gross_account_value"),
+        "surrenders": ("policy_number", "set_month"),
+    },
+    "index": {"snapshot": ("policy_id", "set_month", "reported_date", "gross_account_value")},
+    "life": {
+        "snapshot": ("pmdno", "set_month", "pbfamt", "pmdissuedt", "pbfrsvcd1"),
+        "annuities": ("policyno", "set_month", "total2"),
+        "codes": ("valcode_new", "exhibit"),
+        "premiums": ("policyno", "set_month", "gross_premium"),
+        "claims": ("policyno", "set_month", "net_payable", "issue_date"),
+    },
+}
+_MOVEMENT_COLUMNS = ("policy_number", "set_month", "withdrawal_amount", "reins_code")
+#: The same for reconciliations and the roll-forward.
+RECONCILIATION_NEEDED: dict[str, dict[str, Sequence[str]]] = {
+    "group": {
+        "snapshot": (
+            "policy_number",
+            "set_month",
+            "plangroup",
+            "eom_fund_value",
+            "stat_reserve",
+            "interest_credited",
+            "bonus_credited",
+            "expense_charges",
+        ),
+        "premium": ("set_month", "plangroup", "total_premium", "renewal_premium", "initial_commission"),
+        "withdrawals": ("set_month", "plangroup", "withdrawal_type", "withdrawal_amount"),
+    },
+    "treaty": {
+        "snapshot": ("policy_number", "set_month", "reins_flag"),
+        "policies": ("policy_number",),
+        "commissions": ("set_month", "reins_flag", "paid"),
+        **{kind: _MOVEMENT_COLUMNS for kind in fixed.TREATY_MOVEMENTS if kind != "premium"},
+        "premium": ("policy_number", "set_month", "premium_amount", "quota_share", "reins_code"),
+    },
+    "rollforward": {
+        "snapshot": (
+            "policy_number",
+            "set_month",
+            "reins_flag",
+            "val_code",
+            "purchase_price",
+            "interest_earned",
+            "fund_value",
+            "stat_reserve",
+        ),
+        "policies": ("policy_number", "date_issued"),
+        **{kind: _MOVEMENT_COLUMNS for kind in fixed.ROLLFORWARD_MOVEMENTS},
+    },
+}
+
 
 def life_block_report(tables: Tables) -> DataFrame:
+    tables.check(NEEDED["life"])
     return life_report(
         tables["snapshot"],
         tables["annuities"],
@@ -100,7 +171,7 @@ def block_reports(block: str, tables: Tables) -> dict[str, DataFrame]:
     if block == "life":
         return {"life": life_block_report(tables)}
     reports = {}
-    for report in _reports_of(block):
+    for report in _reports_of(block, tables):
         reports[report.name] = report.cohorts(tables)
         if report.account_value is not None:
             reports[f"{report.name}_av"] = report.account_value(tables)
@@ -119,7 +190,7 @@ def export_block(
         write_flat(report, f"{path}/life", ["set_month", "tranche_mapping"], file_format)
         return {"life": report}
     written = {}
-    for report in _reports_of(block):
+    for report in _reports_of(block, tables):
         value = report.account_value(tables) if report.account_value else None
         sheets = write_sheets(
             f"{path}/{report.name}", report.cohorts(tables), value, report.sort, file_format
@@ -138,9 +209,10 @@ def publish_block(block: str, tables: Tables, path: str, file_format: str = "par
     )
 
 
-def _reports_of(block: str) -> tuple[CohortReport, ...]:
+def _reports_of(block: str, tables: Tables) -> tuple[CohortReport, ...]:
     if block not in COHORT_REPORTS:
         raise ValueError(f"unknown block {block!r}; known blocks: {', '.join(BLOCKS)}")
+    tables.check(NEEDED[block])
     return COHORT_REPORTS[block]
 
 
@@ -152,10 +224,12 @@ def reconciliation(
 ) -> DataFrame:
     """The cash-flow reconciliation of a block for a month, several or all."""
     if block in GROUP_TERMS:
+        tables.check(RECONCILIATION_NEEDED["group"])
         return group_reconciliation(
             tables["snapshot"], tables["premium"], tables["withdrawals"], GROUP_TERMS[block], months
         )
     if block == "treaty":
+        tables.check(RECONCILIATION_NEEDED["treaty"])
         return treaty_reconciliation(
             tables["snapshot"],
             tables["policies"],
@@ -172,6 +246,7 @@ def account_value_rollforward(
     tables: Tables, months: str | Sequence[str] | None = None
 ) -> DataFrame:
     """The treaty block's roll-forward with its check columns."""
+    tables.check(RECONCILIATION_NEEDED["rollforward"])
     movements = tables.movements(fixed.ROLLFORWARD_MOVEMENTS)
     return with_checks(rollforward(tables["snapshot"], tables["policies"], movements, months))
 

@@ -53,6 +53,21 @@ class Tables:
         finally:
             self.spark.conf.set(INFERENCE, before)
 
+    def check(self, needed: Mapping[str, Iterable[str]]) -> None:
+        """An error that names every table and column of ``needed`` that is not there.
+
+        Only schemas are read, so a report that lacks a column fails before it runs.
+        """
+        absent = []
+        for name, columns in needed.items():
+            if name not in self.locations:
+                absent.append(f"table {name!r}")
+                continue
+            known = {column.lower() for column in self[name].columns}
+            absent += [f"{name}.{column}" for column in columns if column.lower() not in known]
+        if absent:
+            raise ValueError(f"not in the tables: {', '.join(absent)}")
+
     def movements(self, kinds: Iterable[str]) -> DataFrame:
         """The movement tables of the given kinds as one long frame."""
         return tag_movements({kind: self[kind] for kind in kinds})

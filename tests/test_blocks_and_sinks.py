@@ -218,6 +218,25 @@ def test_unknown_blocks_are_refused(treaty):
         blocks.reconciliation("life", treaty)
 
 
+def test_missing_tables_and_columns_are_named_before_anything_runs(store, spark, treaty):
+    tables = store(
+        other=("policynumber string, creditstrategy string", ("D1", "s")),
+    )
+    tables = Tables(spark, {"snapshot": tables.locations["other"]})
+    with pytest.raises(ValueError) as error:
+        blocks.block_reports("strategy", tables)
+    assert str(error.value) == (
+        "not in the tables: snapshot.set_month, snapshot.totalpolicyav, table 'policies'"
+    )
+    with pytest.raises(ValueError, match="snapshot.reins_flag.*table 'policies'.*table 'commissions'"):
+        blocks.reconciliation("treaty", tables)
+    with pytest.raises(ValueError, match="snapshot.fund_value"):
+        blocks.account_value_rollforward(tables)
+    with pytest.raises(ValueError, match="table 'annuities'"):
+        blocks.block_reports("life", tables)
+    blocks.account_value_rollforward(treaty)
+
+
 def test_sorted_outputs(frame, spark, tmp_path):
     report = frame("set_month string, k int", *[("202401", i * 7 % 50) for i in range(50)])
     write_flat(report, str(tmp_path / "flat"), ["k"])
