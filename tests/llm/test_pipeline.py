@@ -32,7 +32,7 @@ def test_stages(spark, docs_rows):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
 
 
 def test_the_tokens_keep_the_order_of_the_mix(spark, frame):
