@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +80,59 @@ def url_tokens(url: Column) -> Column:
     return F.when(host != "", F.array_sort(F.array_distinct(tokens))).otherwise(empty)
 
 
+def _kinds_of_tokens(baskets: DataFrame, least: int) -> DataFrame:
+    """``token, confidence, kind`` of the tokens in ``least`` or more blocked URLs.
+
+    Tokens of one ``kind`` are in the same baskets; it is named by their least. At
+    most ``1 / MIN_SUPPORT`` times a URL's tokens come back, whatever the input.
+    """
+    alike = (
+        baskets.groupBy("tokens")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("blocked").cast("long")).alias("bad"))
+        .withColumn("h", F.xxhash64("tokens"))
+        .withColumn("g", F.xxhash64("tokens", F.lit(1)))
+    )
+    frequent = written(
+        alike.select(F.explode("tokens").alias("token"), "n", "bad", "h", "g")
+        .groupBy("token")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("bad").alias("bad"),
+            F.bit_xor("h").alias("h"),
+            F.bit_xor("g").alias("g"),
+        )
+        .filter(F.col("bad") >= least)
+    )
+    kinds = frequent.groupBy("h", "g", "n").agg(F.min("token").alias("kind"))
+    return written(
+        frequent.join(kinds, ["h", "g", "n"]).select(
+            "token", (F.col("bad") / F.col("n")).alias("confidence"), "kind"
+        )
+    )
+
+
+def _of_each_kind(rules: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Rules ``tokens, confidence`` of kinds, once for each choice of their tokens."""
+    members = kinds.groupBy("kind").agg(F.collect_list("token").alias("alike"))
+    choices = F.aggregate(
+        "lists",
+        F.array(F.array().cast("array<string>")),
+        lambda chosen, alike: F.flatten(
+            F.transform(
+                chosen, lambda one: F.transform(alike, lambda token: F.array_append(one, token))
+            )
+        ),
+    )
+    return (
+        rules.select(F.col("tokens").alias("of"), "confidence", F.explode("tokens").alias("kind"))
+        .join(members, "kind")
+        .groupBy("of", "confidence")
+        .agg(F.collect_list("alike").alias("lists"))
+        .select(F.explode(choices).alias("tokens"), "confidence")
+        .select(F.array_sort("tokens").alias("tokens"), "confidence")
+    )
+
+
 def mined_rules(labelled: DataFrame) -> DataFrame:
     """``rule, tokens, confidence`` mined from ``tokens, blocked``.
 
@@ -85,23 +140,43 @@ def mined_rules(labelled: DataFrame) -> DataFrame:
     any size is a rule if at least ``MIN_CONFIDENCE`` of the URLs
     that hold it are blocked. Rules that a smaller rule implies are left out. No
     labelled rows, no rules.
+
+    No such rule holds a token that is a rule by itself, one that is rare among
+    blocked URLs, or two that are in the same URLs. So the first two are not mined
+    again, and tokens of the same URLs are mined as one.
     """
-    baskets = written(
-        labelled.filter(F.size("tokens") > 0).select(
-            F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCKED)))
-            .otherwise(F.col("tokens"))
+    baskets = written(labelled.filter(F.size("tokens") > 0).select("tokens", "blocked"))
+    n = baskets.count()
+    least = max(1, math.ceil(min(1.0, max(MIN_SUPPORT, (MIN_COUNT - 0.5) / max(n, 1))) * n))
+    kinds = _kinds_of_tokens(baskets, least)
+    sure = F.col("confidence") >= MIN_CONFIDENCE
+    # at most 1 / MIN_SUPPORT times a URL's tokens
+    of_token = F.broadcast(kinds.filter(~sure).select("token", "kind"))
+    left = (
+        baskets.select(F.monotonically_increasing_id().alias("id"), "tokens", "blocked")
+        .select("id", "blocked", F.explode("tokens").alias("token"))
+        .join(of_token, "token")
+        .groupBy("id", "blocked")
+        .agg(F.array_sort(F.collect_set("kind")).alias("items"))
+    )
+    items = written(
+        left.select(
+            F.when(F.col("blocked"), F.array_append("items", F.lit(BLOCKED)))
+            .otherwise(F.col("items"))
             .alias("items")
         )
     )
-    n = baskets.count()
-    support = min(1.0, max(MIN_SUPPORT, (MIN_COUNT - 0.5) / max(n, 1)))
-    mined = FPGrowth(itemsCol="items", minSupport=support, minConfidence=MIN_CONFIDENCE).fit(baskets)
-    rules = written(
-        mined.associationRules.filter(
-            (F.col("consequent") == F.array(F.lit(BLOCKED)))
-            & (F.col("confidence") * F.lit(1.0) >= MIN_CONFIDENCE)
-        ).select(F.array_sort("antecedent").alias("tokens"), "confidence")
-    ).withColumn("rule", F.array_join("tokens", " "))
+    n_left = max(items.count(), 1)
+    support = min(1.0, (least - 0.5) / n_left)
+    mined = FPGrowth(itemsCol="items", minSupport=support, minConfidence=MIN_CONFIDENCE).fit(items)
+    several = mined.associationRules.filter(
+        (F.col("consequent") == F.array(F.lit(BLOCKED)))
+        & (F.col("confidence") * F.lit(1.0) >= MIN_CONFIDENCE)
+    ).select(F.col("antecedent").alias("tokens"), "confidence")
+    single = kinds.filter(sure).select(F.array("token").alias("tokens"), "confidence")
+    rules = written(single.unionByName(_of_each_kind(several, kinds))).withColumn(
+        "rule", F.array_join("tokens", " ")
+    )
     # each rule meets the smaller ones that are indexed by one of its tokens, their rarest
     tokens = rules.select("rule", "tokens", F.explode("tokens").alias("token"))
     rarity = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k"))

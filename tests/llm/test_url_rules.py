@@ -87,3 +87,13 @@ def test_a_rule_of_four_tokens_is_mined(frame):
     labels = frame("doc_id long, quality int, toxic int", *[(i, int(not b), 0) for i, _, b in rows])
     blocked = {r.page_id for r in url_verdicts(pages, labels).filter("verdict = 'block'").collect()}
     assert blocked == set(range(601, 641))
+
+
+def test_many_tokens_of_the_same_urls(frame):
+    """Sets of tokens that always go together are not mined one by one."""
+    query = "&".join(f"k{i}={i}" for i in range(14))
+    rows = [(f"http://{h}.site{h}.net/{d}/{i}?{query}", h == "b" and d == "x")
+            for h in ("a", "b", "c") for d in ("x", "y", "z") for i in range(40)]
+    labelled = frame("url string, blocked boolean", *rows).select(url_tokens(F.col("url")).alias("tokens"), "blocked")
+    got = {tuple(r.tokens): r.confidence for r in mined_rules(labelled).collect()}
+    assert got == {("dir:x", t): 1.0 for t in ("first:b", "host:b.siteb.net", "site:siteb.net")}
