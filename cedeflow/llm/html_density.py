@@ -41,6 +41,20 @@ MARKS = frozenset(
     "social related recommended recommendations comment comments disqus replies respond "
     "masthead toolbar widget complementary contentinfo search form alert dialog".split()
 )
+#: Words that may stand beside a mark, as in ``site-footer``; with any other word a
+#: class says something else, as ``related-work`` or ``share-price`` do.
+BESIDE_MARKS = frozenset(
+    "site page main global top bottom left right inner outer box wrap wrapper container block "
+    "section area bar bars unit slot list lists link links item items button buttons icon icons "
+    "panel column col row header title heading post posts article articles thread "
+    "reader readers user users signup sign up sticky fixed mobile desktop primary secondary "
+    "message policy accept google the of and in on us this".split()
+)
+#: Marks that inside an article may name a part of it, as a call-out or a table's key.
+OUTSIDE_ONLY = frozenset(
+    "alert social search form related share sharing notice notices banner widget menu "
+    "respond replies toolbar overlay dialog".split()
+)
 COMMENT_MARKS = frozenset("comment comments disqus replies respond".split())
 NEGATING = frozenset("no has with without".split())
 WORDS = re.compile(r"[a-z0-9]+")
@@ -55,13 +69,20 @@ def _marked(tag: str, attributes: list[tuple[str, str | None]], inside_article:
     if tag in ("html", "body", "main"):
         return False
     marks = COMMENT_MARKS if tag == "article" else MARKS
+    if inside_article:
+        marks -= OUTSIDE_ONLY
     for name, value in attributes:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name in ("class", "id", "role") and value:
             for one in value.split():
                 words = WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", one).lower())
-                if not NEGATING.intersection(words[:1]) and marks.intersection(words):
+                others = (w for w in words if w not in MARKS and not w.isdigit())
+                if (
+                    not NEGATING.intersection(words[:1])
+                    and marks.intersection(words)
+                    and BESIDE_MARKS.issuperset(others)
+                ):
                     return True
     return False
 

@@ -6,7 +6,7 @@ import re
 import pyarrow.parquet as pq
 import pytest
 
-from cedeflow.llm.html_density import main_text
+from cedeflow.llm.html_density import main_text, main_texts
 from cedeflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -42,6 +42,26 @@ def test_what_surrounds_the_text_is_left_out():
     )
 
 
+@pytest.mark.parametrize(
+    "name, kept",
+    [(n, True) for n in ("related-work", "search-results", "form-text", "share-price", "alert", "social", "menu")]
+    + [(n, False) for n in ("ad", "ad-1", "comments", "comment-list", "cookie-notice", "sidebar", "newsletter-signup")],
+)
+def test_class_words_inside_an_article(name, kept):
+    page = (f"<body><article><h1>Title</h1><p>The first paragraph of the text.<div class='{name}'>"
+            "<p>Another one, of some length.</div><p>And the last.</article><div class='related-posts'>Read on</div>")
+    parts = ["Title", "The first paragraph of the text.", *["Another one, of some length."] * kept, "And the last."]
+    assert main_text(page) == "\n".join(parts)
+
+
+def test_empty_table_repeats_and_clashes(frame):
+    schema = "page_id long, url string, html string, text int, n_chars string"
+    assert main_texts(frame(schema)).collect() == []
+    rows = [(1, "u", "<p>a</p>", 3, "x")] * 2 + [(None, None, None, None, None)]
+    got = sorted(tuple(r) for r in main_texts(frame(schema, *rows)).collect() if r.page_id)
+    assert got == [(1, "u", "a", 1)] * 2
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
